@@ -21,7 +21,7 @@ def exact_quantiles(df: DataFrame, columns: list[str], shares: list[float]) -> D
     sketch = df.agg(
         *[F.percentile_approx(F.col(c).cast("double"), sides, ACCURACY).alias(c) for c in columns]
     )
-    bounds = F.broadcast(sketch.select(F.array(*columns).alias("bounds")))
+    bounds = sketch.select(F.array(*columns).alias("bounds")).scalar()
     cells = df.select(F.array(*[F.col(c).cast("double") for c in columns]).alias("values"))
     targets = F.array(
         *[
@@ -31,8 +31,7 @@ def exact_quantiles(df: DataFrame, columns: list[str], shares: list[float]) -> D
         ]
     )
     long = (
-        cells.join(bounds)
-        .select("values", "bounds", F.explode(targets).alias("t"))
+        cells.select("values", bounds.alias("bounds"), F.explode(targets).alias("t"))
         .select(
             "t.i",
             "t.p",
