@@ -14,6 +14,7 @@ def local_session(cores: int | str = "*", app: str = "hitloom", **conf: str) ->
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": "12g",
         **conf,
     }
