@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hitloom.functions.numeric import harmonic_f1
-from hitloom.operators.ranking import rank_statistics
-from hitloom.operators.skew import cut_points, running_sums
+from hitloom.operators.ranking import class_cells, rank_statistics, value_points
+from hitloom.operators.skew import running_sums
 from hitloom.session import settle
 
 
@@ -86,20 +86,15 @@ def roc_auc(df: DataFrame, score: str, label: str = "is_hit", buckets: int = 64)
 
 def threshold_curve(df: DataFrame, score: str, label: str = "is_hit", buckets: int = 64) -> DataFrame:
     """Precision, recall and F1 when rows scoring at least a distinct score count as hits."""
-    rows = df.select(F.col(score).cast("double").alias("threshold"), F.col(label).alias("y"))
-    cells = settle(
-        rows.groupBy("threshold").agg(
-            F.count_if(F.col("y") == 1).alias("pos"), F.count_if(F.col("y") == 0).alias("neg")
-        )
-    )
-    points = F.array(*map(F.lit, cut_points(rows, ["threshold"], buckets)["threshold"]))
+    cells = settle(class_cells(df, [score], label))
+    points = value_points(cells, buckets)
     sums = {"pos": "pos_above", "neg": "neg_above"}
-    above = running_sums(cells, "threshold", sums, points.cast("array<double>"), descending=True)
+    above = running_sums(cells, "value", sums, points, descending=True)
     hits = cells.agg(F.sum("pos").alias("p")).scalar()
     tp, fp = F.col("pos_above") + F.col("pos"), F.col("neg_above") + F.col("neg")
     precision, recall = _ratio(tp, tp + fp), _ratio(tp, hits)
     return above.select(
-        "threshold",
+        F.col("value").alias("threshold"),
         tp.alias("tp"),
         fp.alias("fp"),
         precision.alias("precision"),

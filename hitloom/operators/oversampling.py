@@ -16,7 +16,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hitloom.operators.ranking import hash_cuts, hash_order, top_per_group
+from hitloom.operators.ranking import hash_cuts, hash_order, prefix_counts, top_per_group
 from hitloom.session import settle
 
 # Default neighbour count.
@@ -185,14 +185,14 @@ def synthetic_rows(
     size, missing = counts[minority], max(counts.values()) - counts[minority]
     rows = train.where(F.col(label) == minority).select(
         F.col(key).cast("string").alias("key"), vector_to_array(features).alias("vec"), F.lit(0).alias("c")
-    )
+    ).withColumn("_h", hash_order(F.col("key"), seed))
     rows = settle(rows)
     each, rest = divmod(missing, size)
     again = F.lit(each)
     if rest:
-        quota = rows.sparkSession.createDataFrame([(0, 0, rest)], "c int, part int, quota bigint")
-        cut = hash_cuts(rows, "c", "key", seed, quota).select("cut").scalar()
-        again = again + (hash_order(F.col("key"), seed) <= cut).cast("int")
+        quota = rows.sparkSession.createDataFrame([(0, 0, rest)], "label int, part int, quota bigint")
+        cut = hash_cuts(rows, prefix_counts(rows, "c"), "c", quota).first()["cut"]
+        again = again + (F.col("_h") <= cut).cast("int")
     used = rows.select("key", "vec", again.alias("times"))
     near = nearest_neighbours(rows.select("key", "vec"), k).select("key", "near")
     drawn = (

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from hitloom.operators.skew import cut_points, running_sums
+from hitloom.operators.skew import running_sums
 from hitloom.session import settle
 
 HASH_DIGITS = 4  # quota histograms have at most 16^4 rows per class
@@ -31,10 +31,17 @@ def class_cells(df: DataFrame, columns: list[str], label: str) -> DataFrame:
     )
 
 
-def _points(cells: DataFrame, df: DataFrame, columns: list[str], buckets: int) -> Column:
-    found = cut_points(df, columns, buckets)
-    entries = [x for c in columns for x in (F.lit(c), F.array(*map(F.lit, found[c])).cast("array<double>"))]
-    return F.element_at(F.create_map(*entries), F.col("feature"))
+def value_points(cells: DataFrame, buckets: int) -> Column:
+    """Cut points per feature that split its distinct values about evenly, as a lookup."""
+    shares = [i / buckets for i in range(1, buckets)]
+    found = cells.groupBy("feature").agg(F.percentile_approx("value", shares, 16 * buckets).alias("points"))
+    entries = [
+        x
+        for row in found.collect()  # one row per feature
+        for x in (F.lit(row.feature), F.array(*map(F.lit, sorted(set(row.points)))))
+    ]
+    lookup = F.create_map(*entries) if entries else F.create_map().cast("map<string,array<double>>")
+    return F.element_at(lookup, F.col("feature"))
 
 
 def rank_statistics(df: DataFrame, columns: list[str], label: str, buckets: int = 64) -> DataFrame:
@@ -44,9 +51,8 @@ def rank_statistics(df: DataFrame, columns: list[str], label: str, buckets: int
     Rows are folded to distinct values first; running sums go by value range.
     """
     cells = settle(class_cells(df, columns, label))
-    below = running_sums(
-        cells, "value", {"neg": "neg_below"}, _points(cells, df, columns, buckets), ["feature"]
-    )
+    points = value_points(cells, buckets)
+    below = running_sums(cells, "value", {"neg": "neg_below"}, points, ["feature"])
     pos, neg = F.col("pos").cast("double"), F.col("neg").cast("double")
     ties = (pos + neg) * (pos + neg) * (pos + neg) - (pos + neg)
     total = below.groupBy("feature").agg(
@@ -61,10 +67,10 @@ def rank_statistics(df: DataFrame, columns: list[str], label: str, buckets: int
 
 def mid_ranks(df: DataFrame, column: str, buckets: int = 64) -> DataFrame:
     """Average rank of each distinct value of a column: (value, n, mid_rank)."""
-    rows = df.where(F.col(column).isNotNull()).select(F.col(column).cast("double").alias("value"))
-    points = cut_points(rows, ["value"], buckets)["value"]
-    cells = rows.groupBy("value").agg(F.count(F.lit(1)).alias("n"))
-    below = running_sums(cells, "value", {"n": "below"}, F.array(*map(F.lit, points)).cast("array<double>"))
+    rows = df.where(F.col(column).isNotNull())
+    named = rows.select(F.lit(column).alias("feature"), F.col(column).cast("double").alias("value"))
+    cells = settle(named.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n")))
+    below = running_sums(cells, "value", {"n": "below"}, value_points(cells, buckets))
     return below.select("value", "n", (F.col("below") + (F.col("n") + 1) / 2).alias("mid_rank"))
 
 
@@ -91,54 +97,68 @@ def shared_quotas(counts: DataFrame, label: str, share: float) -> DataFrame:
     return floors.select(label, (F.col("whole") + extra.cast("int")).cast("bigint").alias("quota"))
 
 
-def hash_cuts(df: DataFrame, label: str, key: str, seed: int, quotas: DataFrame) -> DataFrame:
+def prefix_counts(hashed: DataFrame, label: str, order: str = "_h") -> DataFrame:
+    """Rows per class and prefix of the hash column."""
+    prefix = F.substring(order, 1, HASH_DIGITS).alias("prefix")
+    return hashed.groupBy(F.col(label).alias("label"), prefix).agg(F.count(F.lit(1)).alias("n"))
+
+
+def hash_cuts(
+    hashed: DataFrame, histogram: DataFrame, label: str, quotas: DataFrame, order: str = "_h"
+) -> DataFrame:
     """For each (label, part, quota) the hash of the quota-th row of that class in hash order.
 
-    A histogram of hash prefixes finds the prefix that holds the cut, and only rows with that
-    prefix are ranked, so no task sees a whole class.
+    The histogram of hash prefixes tells which prefix holds the cut, and only rows with that
+    prefix are ranked, so no task sees a whole class. The result has one row per quota and is
+    written, since several steps read it.
     """
-    h = hash_order(F.col(key), seed)
-    prefix = F.substring(h, 1, HASH_DIGITS)
-    rows = df.select(F.col(label).alias("label"), h.alias("h"), prefix.alias("prefix"))
     upto = Window.partitionBy("label").orderBy("prefix")
-    histogram = rows.groupBy("label", "prefix").agg(F.count(F.lit(1)).alias("n"))
     sums = histogram.withColumn("upto", F.sum("n").over(upto))
-    wanted = quotas.select(F.col(label).alias("label"), "part", "quota")
-    held = sums.join(F.broadcast(wanted), "label").where(
+    held = sums.join(F.broadcast(quotas), "label").where(
         (F.col("quota") <= F.col("upto")) & (F.col("quota") > F.col("upto") - F.col("n"))
     )
     spots = held.select("label", "prefix", "part", (F.col("quota") - F.col("upto") + F.col("n")).alias("spot"))
-    near = rows.join(F.broadcast(spots), ["label", "prefix"])
-    order = Window.partitionBy("label", "part").orderBy("h")
-    return (
-        near.withColumn("r", F.row_number().over(order))
-        .where(F.col("r") == F.col("spot"))
-        .select(F.col("label").alias(label), "part", F.col("h").alias("cut"))
+    rows = hashed.select(
+        F.col(label).alias("label"), F.col(order).alias("cut"), F.substring(order, 1, HASH_DIGITS).alias("prefix")
     )
+    near = rows.join(F.broadcast(spots), ["label", "prefix"])
+    ranks = Window.partitionBy("label", "part").orderBy("cut")
+    found = near.withColumn("r", F.row_number().over(ranks)).where(F.col("r") == F.col("spot"))
+    return settle(found.select("label", "part", "cut"))
 
 
-def with_test_flag(df: DataFrame, label: str, key: str, seed: int, share: float) -> DataFrame:
-    """Add ``is_test`` for an exact stratified share of unique keys; rows are not shuffled."""
-    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
-    quotas = shared_quotas(counts, label, share).withColumn("part", F.lit(0))
-    cuts = hash_cuts(df, label, key, seed, quotas).drop("part")
-    h = hash_order(F.col(key), seed)
-    return df.join(F.broadcast(cuts), label, "left").withColumn(
-        "is_test", F.coalesce(h <= F.col("cut"), F.lit(False))
-    ).drop("cut").select(*df.columns, "is_test")
+def _hashed(df: DataFrame, key: str, seed: int, settled: bool) -> DataFrame:
+    hashed = df.withColumn("_h", hash_order(F.col(key), seed))
+    return settle(hashed) if settled else hashed
 
 
-def with_folds(df: DataFrame, label: str, key: str, seed: int, k: int) -> DataFrame:
+def with_test_flag(
+    df: DataFrame, label: str, key: str, seed: int, share: float, settled: bool = False
+) -> DataFrame:
+    """Add ``is_test`` for an exact stratified share of unique keys; rows are not shuffled.
+
+    ``settled`` writes the rows once with their hash, for a table that is costly to derive.
+    """
+    hashed = _hashed(df, key, seed, settled)
+    histogram = prefix_counts(hashed, label)
+    counts = histogram.groupBy("label").agg(F.sum("n").alias("n"))
+    quotas = shared_quotas(counts, "label", share).withColumn("part", F.lit(0))
+    cuts = hash_cuts(hashed, histogram, label, quotas).select(F.col("label").alias(label), "cut")
+    flagged = hashed.join(F.broadcast(cuts), label, "left")
+    return flagged.select(*df.columns, F.coalesce(F.col("_h") <= F.col("cut"), F.lit(False)).alias("is_test"))
+
+
+def with_folds(df: DataFrame, label: str, key: str, seed: int, k: int, settled: bool = False) -> DataFrame:
     """Add ``fold`` 0..k-1: equal stratified parts in hash order, rows not shuffled."""
-    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
-    parts = F.explode(F.sequence(F.lit(1), F.lit(k - 1))).alias("part")
-    quotas = counts.select(label, "n", parts).select(
-        label, "part", F.floor(F.col("n") * F.col("part") / F.lit(k)).cast("bigint").alias("quota")
-    )
-    cuts = hash_cuts(df, label, key, seed, quotas.where(F.col("quota") > 0))
-    empty = quotas.where(F.col("quota") == 0).select(label, "part", F.lit("").alias("cut"))
-    per_class = cuts.unionByName(empty).groupBy(label).agg(F.collect_list("cut").alias("cuts"))
-    h = hash_order(F.col(key), seed)
-    return df.join(F.broadcast(per_class), label, "left").select(
-        *df.columns, F.size(F.filter("cuts", lambda c: c < h)).alias("fold")
+    hashed = _hashed(df, key, seed, settled)
+    histogram = prefix_counts(hashed, label)
+    counts = histogram.groupBy("label").agg(F.sum("n").alias("n"))
+    part = F.explode(F.sequence(F.lit(1), F.lit(k - 1))).alias("part")
+    quota = F.floor(F.col("n") * F.col("part") / F.lit(k)).cast("bigint").alias("quota")
+    quotas = counts.select("label", "n", part).select("label", "part", quota)
+    cuts = hash_cuts(hashed, histogram, label, quotas.where(F.col("quota") > 0))
+    empty = quotas.where(F.col("quota") == 0).select("label", "part", F.lit("").alias("cut"))
+    per_class = cuts.unionByName(empty).groupBy(F.col("label").alias(label)).agg(F.collect_list("cut").alias("cuts"))
+    return hashed.join(F.broadcast(per_class), label, "left").select(
+        *df.columns, F.size(F.filter("cuts", lambda c: c < F.col("_h"))).alias("fold")
     )

@@ -54,13 +54,6 @@ def salted_join(
     return joined.select(*[F.col(f"`{c}`") for c in order])
 
 
-def cut_points(df: DataFrame, columns: list[str], buckets: int = 64) -> dict[str, list[float]]:
-    """At most ``buckets - 1`` values per column that split its rows about evenly."""
-    shares = [i / buckets for i in range(1, buckets)]
-    found = df.approxQuantile(columns, shares, 1.0 / (4 * buckets))
-    return {c: sorted(set(values)) for c, values in zip(columns, found)}
-
-
 def bucket_of(value: Column, points: Column) -> Column:
     """How many cut points lie below a value."""
     return F.size(F.filter(points, lambda p: p < value))
@@ -70,7 +63,7 @@ def running_sums(
     cells: DataFrame,
     order: str,
     sums: dict[str, str],
-    points: Column | None,
+    points: Column,
     groups: list[str] | None = None,
     descending: bool = False,
 ) -> DataFrame:
@@ -81,18 +74,13 @@ def running_sums(
     ranges before it come from a table with one row per group and range.
     """
     groups = groups or []
-    side = F.lit(0) if points is None else bucket_of(F.col(order), points)
-    placed = cells.withColumn("_range", side)
+    placed = cells.withColumn("_range", bucket_of(F.col(order), points))
 
     def sort(column: str) -> Column:
         return F.col(column).desc() if descending else F.col(column).asc()
 
     before = (Window.unboundedPreceding, -1)
     inner = Window.partitionBy(*groups, "_range").orderBy(sort(order)).rowsBetween(*before)
-    if points is None:
-        return placed.select(
-            "*", *[F.coalesce(F.sum(c).over(inner), F.lit(0)).alias(n) for c, n in sums.items()]
-        ).drop("_range")
     outer = Window.partitionBy(*groups).orderBy(sort("_range")).rowsBetween(*before)
     totals = placed.groupBy(*groups, "_range").agg(*[F.sum(c).alias(c) for c in sums])
     starts = totals.select(

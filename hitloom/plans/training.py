@@ -65,7 +65,7 @@ def split_rows(
     """Prepared rows with an exact stratified test share, written once for all later passes."""
     frame, numeric, categorical = training_frame(df, contract, settings.frame)
     rows = frame.select(key, contract.label, *numeric, *categorical)
-    flagged = settle(with_test_flag(rows, contract.label, key, settings.seed, settings.test_size))
+    flagged = with_test_flag(rows, contract.label, key, settings.seed, settings.test_size, settled=True)
     train, test = flagged.where(~F.col("is_test")), flagged.where("is_test")
     return Split(train, test, tuple(numeric), tuple(categorical), contract.label, key)
 
@@ -90,7 +90,8 @@ def score(df: DataFrame, prepared: Prepared, classifier) -> DataFrame:
 def evaluate(scored: DataFrame, label: str) -> dict:
     """Metrics of a scored table; every one is a distributed aggregate."""
     rows = settle(scored.select(F.col(label).alias("y"), "prediction", "probability"))
-    counts = confusion_counts(rows, "y", "prediction")
+    found = confusion_counts(rows, "y", "prediction").first()
+    counts = rows.sparkSession.createDataFrame([found], "tn bigint, fp bigint, fn bigint, tp bigint")
     m = binary_metrics(counts).first()
     area = roc_auc(rows, "probability", "y").first()
     report = [r.asDict() for r in class_report(counts).collect()]
@@ -193,7 +194,7 @@ def train_net(
     stratum = split.label
     if min(sizes.values()) < 2:  # a class of one row cannot be split by class
         ready, stratum = ready.withColumn("all", F.lit(0)), "all"
-    parts = settle(with_test_flag(ready, stratum, split.key, settings.seed + 1, settings.validation))
+    parts = with_test_flag(ready, stratum, split.key, settings.seed + 1, settings.validation, settled=True)
     net = train_network(parts.where(~F.col("is_test")), "x", split.label, settings)
     if settings.threshold_on == "validation":
         held = parts.where("is_test").withColumn("probability", net.probability(F.col("x")))

@@ -14,7 +14,6 @@ from hitloom.operators.oversampling import oversampling_plan
 from hitloom.operators.preparation import fit_preparation
 from hitloom.operators.ranking import with_folds
 from hitloom.plans import training as tr
-from hitloom.session import settle
 
 # The search spaces.
 NEIGHBOURS = (3, 5, 7)
@@ -55,7 +54,7 @@ def _search(df, key, contract, settings, search: Search, space: dict, fit, scale
         space = {**space, "neighbours": tuple(sorted({max(1, min(n, k)) for n in NEIGHBOURS}))}
     candidates = draw(space, search.draws, settings.seed)
     folds = max(2, search.folds)
-    folded = settle(with_folds(split.train, split.label, split.key, settings.seed + 2, folds))
+    folded = with_folds(split.train, split.label, split.key, settings.seed + 2, folds, settled=True)
     scores = [0.0] * len(candidates)
     for fold in range(folds):
         inside, outside = folded.where(F.col("fold") != fold), folded.where(F.col("fold") == fold)
