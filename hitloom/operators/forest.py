@@ -47,10 +47,15 @@ def _paths(nodes: dict) -> list[Leaf]:
             high = np.array([box[f][1] for f in names])
             found.append((np.array(names, dtype=int), low, high, float(share)))
             continue
-        f, cut = node.split.featureIndex, node.split.leftCategoriesOrThreshold[0]
+        f, values = node.split.featureIndex, list(node.split.leftCategoriesOrThreshold)
+        below, above = node.leftChild, node.rightChild
+        cut = values[0]
+        if node.split.numCategories > 0:  # a one-hot column: the left side lists 0 or 1
+            cut = 0.5
+            below, above = (below, above) if values == [0.0] else (above, below)
         low, high = box.get(f, (-np.inf, np.inf))
-        open_.append((node.leftChild, {**box, f: (low, min(high, cut))}))
-        open_.append((node.rightChild, {**box, f: (max(low, cut), high)}))
+        open_.append((below, {**box, f: (low, min(high, cut))}))
+        open_.append((above, {**box, f: (max(low, cut), high)}))
     return found
 
 

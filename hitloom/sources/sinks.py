@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
-    df.write.mode(mode).option("header", True).csv(path)
+    df.write.mode(mode).option("header", True).option("escape", '"').csv(path)
     return path
 
 

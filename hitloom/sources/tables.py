@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -70,8 +71,11 @@ def choose_csv(
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+    try:
+        spark.read.format("binaryFile").load(path)
+    except AnalysisException:
+        return False
+    return True
 
 
 def with_source(df: DataFrame, name: str = "kaggle_source_csv", path: str | None = None) -> DataFrame:
