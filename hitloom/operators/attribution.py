@@ -48,8 +48,10 @@ def grouped_values(values: DataFrame, groups: DataFrame, key: str) -> DataFrame:
 
     ``groups`` is (feature, feature_group, group_ord) with one row per model feature.
     """
+    # One shuffle by row serves both the sums and the ranks.
     total = (
         values.join(F.broadcast(groups), "feature")
+        .repartition(key)
         .groupBy(key, "feature_group")
         .agg(F.sum("value").alias("attribution"), F.min("group_ord").alias("group_ord"))
     )

@@ -39,29 +39,29 @@ def class_histogram(df: DataFrame, column: str, label: str = "is_hit", bins: int
 
 
 def correlations(df: DataFrame, columns: list[str], digits: int = 2) -> DataFrame:
-    """Pearson correlation of every pair on its complete rows, one pass, long form."""
-    pairs = list(combinations_with_replacement(columns, 2))
-
-    def moments(a: str, b: str) -> Column:
-        x = F.when(F.col(b).isNotNull(), F.col(a).cast("double"))
-        y = F.when(F.col(a).isNotNull(), F.col(b).cast("double"))
-        spread = F.stddev_pop(x) * F.stddev_pop(y)
-        return F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.try_divide(F.covar_pop(x, y), spread).alias("r"))
-
-    row = df.agg(F.array(*[moments(a, b) for a, b in pairs]).alias("cells"))
-    both = F.flatten(
-        F.transform(
-            "cells",
-            lambda c: F.when(c["a"] == c["b"], F.array(c)).otherwise(
-                F.array(c, F.struct(c["b"].alias("a"), c["a"].alias("b"), c["r"].alias("r")))
-            ),
-        )
+    """Pearson correlation of every pair on its complete rows, one pass, long form.
+
+    A row is spread to its complete pairs and folded at once by partial aggregation; the shuffle
+    carries one row per pair and task. A constant column has no correlation.
+    """
+    number = [F.col(c).cast("double") for c in columns]
+    pairs = combinations_with_replacement(range(len(columns)), 2)
+    cells = [
+        F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), number[i].alias("x"), number[j].alias("y"))
+        for i, j in pairs
+    ]
+    spread = df.select(F.explode(F.array(*cells)).alias("c")).select("c.*").dropna()
+    moments = spread.groupBy("i", "j").agg(
+        F.covar_pop("x", "y").alias("xy"), F.stddev_pop("x").alias("sx"), F.stddev_pop("y").alias("sy")
+    )
+    wanted = df.sparkSession.createDataFrame(
+        [(i, j, a, b) for i, a in enumerate(columns) for j, b in enumerate(columns)],
+        "a int, b int, feature_a string, feature_b string",
     )
-    cell = row.select(F.explode(both).alias("c"))
-    return cell.select(
-        F.col("c.a").alias("feature_a"),
-        F.col("c.b").alias("feature_b"),
-        F.bround("c.r", digits).alias("corr"),
+    known = wanted.withColumns({"i": F.least("a", "b"), "j": F.greatest("a", "b")})
+    r = F.try_divide("xy", F.col("sx") * F.col("sy"))
+    return known.join(F.broadcast(moments), ["i", "j"], "left").select(
+        "feature_a", "feature_b", F.bround(r, digits).alias("corr")
     )
 
 

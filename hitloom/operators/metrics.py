@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hitloom.functions.numeric import harmonic_f1
-from hitloom.operators.ranking import class_cells, rank_statistics, value_points
+from hitloom.operators.ranking import RANGE_ROWS, class_cells, rank_statistics, value_points
 from hitloom.operators.skew import running_sums
 from hitloom.session import settle
 
@@ -77,17 +77,17 @@ def class_report(counts: DataFrame) -> DataFrame:
     )
 
 
-def roc_auc(df: DataFrame, score: str, label: str = "is_hit", buckets: int = 64) -> DataFrame:
+def roc_auc(df: DataFrame, score: str, label: str = "is_hit", rows_per_range: int = RANGE_ROWS) -> DataFrame:
     """Exact area under the ROC curve; NULL unless both classes occur."""
-    stats = rank_statistics(df, [score], label, buckets)
+    stats = rank_statistics(df, [score], label, rows_per_range)
     both = (F.col("n_pos") > 0) & (F.col("n_neg") > 0)
     return stats.select("n_pos", "n_neg", F.when(both, F.col("auc")).alias("roc_auc"))
 
 
-def threshold_curve(df: DataFrame, score: str, label: str = "is_hit", buckets: int = 64) -> DataFrame:
+def threshold_curve(df: DataFrame, score: str, label: str = "is_hit", rows_per_range: int = RANGE_ROWS) -> DataFrame:
     """Precision, recall and F1 when rows scoring at least a distinct score count as hits."""
     cells = settle(class_cells(df, [score], label))
-    points = value_points(cells, buckets)
+    points = value_points(cells, rows_per_range)
     sums = {"pos": "pos_above", "neg": "neg_above"}
     above = running_sums(cells, "value", sums, points, descending=True)
     hits = cells.agg(F.sum("pos").alias("p")).scalar()
@@ -103,9 +103,9 @@ def threshold_curve(df: DataFrame, score: str, label: str = "is_hit", buckets: i
     )
 
 
-def best_threshold(df: DataFrame, score: str, label: str = "is_hit", buckets: int = 64) -> DataFrame:
+def best_threshold(df: DataFrame, score: str, label: str = "is_hit", rows_per_range: int = RANGE_ROWS) -> DataFrame:
     """The threshold with the highest F1, the lowest such one; 0.5 unless both classes occur."""
-    curve = threshold_curve(df, score, label, buckets)
+    curve = threshold_curve(df, score, label, rows_per_range)
     best = F.max(F.struct("f1", (-F.col("threshold")).alias("neg")))
     summary = curve.agg(best.alias("best"), F.max("tp").alias("pos"), F.max("fp").alias("neg"))
     both = (F.col("pos") > 0) & (F.col("neg") > 0)

@@ -13,51 +13,43 @@ MARGIN = 4.0 / ACCURACY  # wider than the rank error of the sketch
 def exact_quantiles(df: DataFrame, columns: list[str], shares: list[float]) -> DataFrame:
     """Interpolated quantiles per column, as (feature, p, value); NULLs are left out.
 
-    A sketch brackets each quantile. Values outside the bracket are only counted; the few inside
-    it are grouped and ranked, so ranking sees about ``2 * MARGIN`` of the rows and each value
-    once.
+    A sketch brackets each quantile with two values per column and share. One aggregate counts
+    the values below each bracket; the few inside it are grouped and ranked, so ranking sees
+    about ``2 * MARGIN`` of the rows and each value once.
     """
     sides = [x for p in shares for x in (max(0.0, p - MARGIN), min(1.0, p + MARGIN))]
-    sketch = df.agg(
-        *[F.percentile_approx(F.col(c).cast("double"), sides, ACCURACY).alias(c) for c in columns]
-    )
-    bounds = sketch.select(F.array(*columns).alias("bounds")).scalar()
-    cells = df.select(F.array(*[F.col(c).cast("double") for c in columns]).alias("values"))
-    targets = F.array(
-        *[
-            F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.lit(p).alias("p"))
-            for i in range(len(columns))
-            for j, p in enumerate(shares)
-        ]
-    )
-    long = (
-        cells.select("values", bounds.alias("bounds"), F.explode(targets).alias("t"))
-        .select(
-            "t.i",
-            "t.p",
-            F.element_at("values", F.col("t.i") + 1).alias("v"),
-            F.element_at(F.element_at("bounds", F.col("t.i") + 1), 2 * F.col("t.j") + 1).alias("lo"),
-            F.element_at(F.element_at("bounds", F.col("t.i") + 1), 2 * F.col("t.j") + 2).alias("hi"),
+    number = {c: F.col(c).cast("double") for c in columns}
+    sketch = df.agg(*[F.percentile_approx(number[c], sides, ACCURACY).alias(c) for c in columns])
+    found = sketch.first()
+    brackets = [
+        (i, p, number[c], found[c][2 * j], found[c][2 * j + 1])
+        for i, c in enumerate(columns)
+        for j, p in enumerate(shares)
+        if found[c]
+    ]
+    if not brackets:
+        return df.sparkSession.createDataFrame([], "feature string, p double, value double")
+    counts = [
+        F.struct(
+            F.lit(i).alias("i"), F.lit(p).alias("p"), F.count(x).alias("total"), F.count_if(x < lo).alias("below")
         )
-        .where(F.col("v").isNotNull())
-    )
-    side = F.when(F.col("v") < F.col("lo"), -1).when(F.col("v") > F.col("hi"), 1).otherwise(0)
-    grouped = long.groupBy(
-        "i", "p", side.alias("side"), F.when(side == 0, F.col("v")).alias("v")
-    ).agg(F.count(F.lit(1)).alias("n"))
-    group = Window.partitionBy("i", "p")
-    ranked = grouped.withColumns(
-        {
-            "upto": F.sum("n").over(group.orderBy("side", "v")),
-            "total": F.sum("n").over(group),
-        }
-    )
+        for i, p, x, lo, _ in brackets
+    ]
+    outside = df.agg(F.array(*counts).alias("c")).select(F.inline("c"))
+    cells = [
+        F.struct(F.lit(i).alias("i"), F.lit(p).alias("p"), F.when(x.between(lo, hi), x).alias("v"))
+        for i, p, x, lo, hi in brackets
+    ]
+    inside = df.select(F.explode(F.array(*cells)).alias("c")).select("c.*").where(F.col("v").isNotNull())
+    grouped = inside.groupBy("i", "p", "v").agg(F.count(F.lit(1)).alias("n"))
+    upto = F.sum("n").over(Window.partitionBy("i", "p").orderBy("v"))
+    ranked = grouped.withColumn("upto", upto).join(F.broadcast(outside), ["i", "p"])
     spot = (F.col("total") - 1) * F.col("p")
     low, high = F.floor(spot), F.ceil(spot)
-    first = F.col("upto") - F.col("n")
+    last = F.col("below") + F.col("upto")
 
     def at(rank):
-        return F.max(F.when((first <= rank) & (rank < F.col("upto")), F.col("v")))
+        return F.max(F.when((last - F.col("n") <= rank) & (rank < last), F.col("v")))
 
     picked = ranked.groupBy("i", "p").agg(
         at(low).alias("a"), at(high).alias("b"), F.max(spot - low).alias("part")

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from hitloom.operators.skew import running_sums
-from hitloom.session import settle
+from hitloom.session import settle, settle_wide
 
+RANGE_ROWS, MAX_RANGES = 200_000, 1024
 HASH_DIGITS = 4  # quota histograms have at most 16^4 rows per class
 
 
@@ -31,27 +34,36 @@ def class_cells(df: DataFrame, columns: list[str], label: str) -> DataFrame:
     )
 
 
-def value_points(cells: DataFrame, buckets: int) -> Column:
-    """Cut points per feature that split its distinct values about evenly, as a lookup."""
-    shares = [i / buckets for i in range(1, buckets)]
-    found = cells.groupBy("feature").agg(F.percentile_approx("value", shares, 16 * buckets).alias("points"))
-    entries = [
-        x
-        for row in found.collect()  # one row per feature
-        for x in (F.lit(row.feature), F.array(*map(F.lit, sorted(set(row.points)))))
-    ]
-    lookup = F.create_map(*entries) if entries else F.create_map().cast("map<string,array<double>>")
-    return F.element_at(lookup, F.col("feature"))
-
+def value_points(cells: DataFrame, rows_per_range: int = RANGE_ROWS) -> Column:
+    """Cut points per feature that split its distinct values about evenly, as a lookup.
 
-def rank_statistics(df: DataFrame, columns: list[str], label: str, buckets: int = 64) -> DataFrame:
+    As many ranges as needed for ``rows_per_range`` values each, at most ``MAX_RANGES``.
+    """
+    shares = [i / MAX_RANGES for i in range(1, MAX_RANGES)]
+    found = cells.groupBy("feature").agg(
+        F.count(F.lit(1)).alias("n"), F.percentile_approx("value", shares, 4 * MAX_RANGES).alias("points")
+    )
+    entries = []
+    for row in found.collect():  # one row per feature
+        ranges = min(MAX_RANGES, max(1, math.ceil(row.n / rows_per_range)))
+        points = sorted({row.points[MAX_RANGES * i // ranges - 1] for i in range(1, ranges)})
+        size = max(1, math.isqrt(len(points)))
+        runs = [F.array(*map(F.lit, points[at : at + size])) for at in range(0, len(points), size)]
+        entries += [F.lit(row.feature), F.array(*runs).cast("array<array<double>>")]
+    lookup = F.create_map(*entries) if entries else F.create_map()
+    return F.element_at(lookup.cast("map<string,array<array<double>>>"), F.col("feature"))
+
+
+def rank_statistics(
+    df: DataFrame, columns: list[str], label: str, rows_per_range: int = RANGE_ROWS
+) -> DataFrame:
     """Per feature: class sizes, Mann-Whitney U of the positives, AUC and the tie sum.
 
     U counts, for every positive, the negatives below it plus half the negatives equal to it.
     Rows are folded to distinct values first; running sums go by value range.
     """
     cells = settle(class_cells(df, columns, label))
-    points = value_points(cells, buckets)
+    points = value_points(cells, rows_per_range)
     below = running_sums(cells, "value", {"neg": "neg_below"}, points, ["feature"])
     pos, neg = F.col("pos").cast("double"), F.col("neg").cast("double")
     ties = (pos + neg) * (pos + neg) * (pos + neg) - (pos + neg)
@@ -65,12 +77,12 @@ def rank_statistics(df: DataFrame, columns: list[str], label: str, buckets: int
     return total.withColumn("auc", area)
 
 
-def mid_ranks(df: DataFrame, column: str, buckets: int = 64) -> DataFrame:
+def mid_ranks(df: DataFrame, column: str, rows_per_range: int = RANGE_ROWS) -> DataFrame:
     """Average rank of each distinct value of a column: (value, n, mid_rank)."""
     rows = df.where(F.col(column).isNotNull())
     named = rows.select(F.lit(column).alias("feature"), F.col(column).cast("double").alias("value"))
     cells = settle(named.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n")))
-    below = running_sums(cells, "value", {"n": "below"}, value_points(cells, buckets))
+    below = running_sums(cells, "value", {"n": "below"}, value_points(cells, rows_per_range))
     return below.select("value", "n", (F.col("below") + (F.col("n") + 1) / 2).alias("mid_rank"))
 
 
@@ -129,7 +141,7 @@ def hash_cuts(
 
 def _hashed(df: DataFrame, key: str, seed: int, settled: bool) -> DataFrame:
     hashed = df.withColumn("_h", hash_order(F.col(key), seed))
-    return settle(hashed) if settled else hashed
+    return settle_wide(hashed) if settled else hashed
 
 
 def with_test_flag(

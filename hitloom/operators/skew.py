@@ -55,8 +55,14 @@ def salted_join(
 
 
 def bucket_of(value: Column, points: Column) -> Column:
-    """How many cut points lie below a value."""
-    return F.size(F.filter(points, lambda p: p < value))
+    """How many sorted cut points lie below a value.
+
+    ``points`` is an array of runs of equal length; the run is found first, then the point in it.
+    """
+    runs = F.size(F.filter(points, lambda run: F.element_at(run, -1) < value))
+    run = F.get(points, runs)
+    inside = F.coalesce(F.size(F.filter(run, lambda p: p < value)), F.lit(0))
+    return runs * 1024 + F.greatest(inside, F.lit(0))
 
 
 def running_sums(
@@ -70,7 +76,7 @@ def running_sums(
     """Add, for each ``sums[column]``, the total of ``column`` over the rows before this one.
 
     Order is by ``order`` within ``groups`` and must be unique there. Rows go to value ranges
-    given by ``points`` (fixed cut points); a range is one window group, and the totals of the
+    given by ``points`` (see :func:`bucket_of`); a range is one window group, and the totals of the
     ranges before it come from a table with one row per group and range.
     """
     groups = groups or []

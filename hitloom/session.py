@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -32,14 +33,28 @@ def shared_folder(spark: SparkSession) -> str:
     if folder is None:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="hitloom-")
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
-    return folder
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="hitloom-"))
+        folder = spark.sparkContext.getCheckpointDir()
+    return folder.rstrip("/")
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared folder so that later steps neither recompute it nor
-    depend on the executors that made it."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
+    """Write ``df`` as a table in the shared folder and read it back, so that later steps neither
+    recompute it nor depend on the executors that made it, and read only the columns they need.
+
+    Every call makes a new table; the folder is the cluster's scratch space to expire.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/settled-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def settle_wide(df: DataFrame) -> DataFrame:
+    """Like :func:`settle`, for a table that many later passes read: a table in fewer files than
+    the cluster has cores (so a small one) is dealt out over them."""
+    settled = settle(df)
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if len(settled.inputFiles()) >= cores:
+        return settled
+    return settle(settled.repartition(cores))

@@ -28,6 +28,15 @@ def read_table(spark: SparkSession, path: str, schema: StructType | str | None =
     raise ValueError(f"{path}: only .csv and .parquet tables are read, not {kind!r}")
 
 
+def dealt(df: DataFrame, *keys: str) -> DataFrame:
+    """A table stored in fewer files than the cluster has cores, dealt out over them by key.
+
+    A table of many files, such as any large one, is left as it is read.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if len(df.inputFiles()) >= cores else df.repartition(cores, *keys)
+
+
 def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
     """A CSV table; other suffixes raise."""
     if _suffix(path) != ".csv":

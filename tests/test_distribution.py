@@ -29,14 +29,14 @@ def brute_u(pos, neg):
     return float(sum((pos[:, None] > neg).sum(1) + 0.5 * (pos[:, None] == neg).sum(1)))
 
 
-@pytest.mark.parametrize("buckets", [2, 64])
-def test_rank_statistics(spark, buckets):
+@pytest.mark.parametrize("per_range", [1, 40, 10**6])
+def test_rank_statistics(spark, per_range):
     rng = np.random.default_rng(1)
     y = rng.integers(0, 2, 700)
     x = np.where(rng.random(700) < 0.3, 0.5, rng.normal(size=700)).round(2)
     z = rng.integers(0, 4, 700).astype(float)
     df = spark.createDataFrame([(int(a), float(b), float(c) if c else None) for a, b, c in zip(y, x, z)], "y int, x double, z double")
-    got = {r.feature: r for r in rk.rank_statistics(df, ["x", "z"], "y", buckets).collect()}
+    got = {r.feature: r for r in rk.rank_statistics(df, ["x", "z"], "y", per_range).collect()}
     assert got["x"].u == brute_u(x[y == 1], x[y == 0])
     assert got["z"].u == brute_u(z[(y == 1) & (z > 0)], z[(y == 0) & (z > 0)])
     _, n = np.unique(x, return_counts=True)
@@ -64,7 +64,7 @@ def test_best_threshold(spark):
         p, r = tp / (tp + fp), tp / (y == 1).sum()
         return 2 * p * r / (p + r + 1e-8)
 
-    assert best_threshold(df, "s", buckets=4).first().threshold == max(sorted(set(s)), key=f1)
+    assert best_threshold(df, "s", rows_per_range=4).first().threshold == max(sorted(set(s)), key=f1)
 
 
 def test_published_confusion_matrix(spark):

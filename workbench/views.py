@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from hitloom.functions.calendar import week_ending
+from hitloom.sources.tables import dealt
 
 LINE_KEY = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
 
@@ -76,7 +77,7 @@ def chart(spark: SparkSession, folder: str) -> DataFrame:
 
 def train(spark: SparkSession, folder: str) -> DataFrame:
     """Line items as a training table: label, four numerics, two categories, a date, a key."""
-    l = table(spark, folder, "lineitem")
+    l = dealt(table(spark, folder, "lineitem"), *LINE_KEY)
     hole = (F.col("l_orderkey") * 7 + F.col("l_linenumber")) % 11 == 0
     return l.select(
         F.concat_ws("-", *[F.col(c).cast("string") for c in LINE_KEY]).alias("row_key"),
