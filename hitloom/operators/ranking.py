@@ -121,8 +121,8 @@ def hash_cuts(
     """For each (label, part, quota) the hash of the quota-th row of that class in hash order.
 
     The histogram of hash prefixes tells which prefix holds the cut, and only rows with that
-    prefix are ranked, so no task sees a whole class. The result has one row per quota and is
-    written, since several steps read it.
+    prefix are ranked, so no task sees a whole class. The result has one row per quota; several
+    steps read it, so it becomes a constant table.
     """
     upto = Window.partitionBy("label").orderBy("prefix")
     sums = histogram.withColumn("upto", F.sum("n").over(upto))
@@ -136,7 +136,8 @@ def hash_cuts(
     near = rows.join(F.broadcast(spots), ["label", "prefix"])
     ranks = Window.partitionBy("label", "part").orderBy("cut")
     found = near.withColumn("r", F.row_number().over(ranks)).where(F.col("r") == F.col("spot"))
-    return settle(found.select("label", "part", "cut"))
+    cuts = found.select("label", "part", "cut")
+    return hashed.sparkSession.createDataFrame(cuts.collect(), cuts.schema)
 
 
 def _hashed(df: DataFrame, key: str, seed: int, settled: bool) -> DataFrame:
