@@ -24,9 +24,11 @@ TEST_FEATURES = ("danceability", "energy", "valence", "tempo", "loudness")
 CHART_FEATURE_LITERAL = "billboard_hot_100_appearance"
 CHART_NAME = "hot-100"
 MATCH_THRESHOLD = 0.75
-SHARE_REPORT_KEYS = (
-    "model",
+REPORT_KEYS = (
     "n_rows",
+    "recent_years_window",
+    "n_features_numeric",
+    "n_features_categorical",
     "accuracy",
     "f1",
     "precision",

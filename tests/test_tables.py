@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from hitloom.contracts import ARTIST_CONTRACT, CHART_CONTRACT, FeatureContract
+from hitloom.contracts import ARTIST_CONTRACT, CHART_CONTRACT
 from hitloom.operators import coercion as co, eda, filters as fl, hypothesis as hy
 from hitloom.sources import sinks, snapshots, tables
 

@@ -14,16 +14,18 @@ from hitloom.contracts import (
     FrameSettings,
     LinearSettings,
     NetSettings,
+    REPORT_KEYS,
 )
 from hitloom.functions.numeric import harmonic_f1, sigmoid
 from hitloom.operators import attribution as at, matching as m, oversampling as ov, preparation as pp
 from hitloom.operators.eda import class_counts
+from hitloom.operators.metrics import binary_metrics, confusion_counts
 from hitloom.plans import explaining as ex, training as tr, tuning as tu
 from hitloom.session import settle, shared_folder
 from hitloom.streaming import snapshots as st
 from workbench import views as v
 from workbench.queries_songs import SONG_CHART
-from workbench.registry import b, big, query, r, real
+from workbench.registry import big, query, r, real
 
 NUMERIC = ("energy", "tempo", "danceability", "valence")
 LINES = FeatureContract(ids=("row_key",), numeric=NUMERIC)
@@ -174,6 +176,22 @@ def metrics_row(spark, sf):
     return spark.createDataFrame([row], schema).select("model", "tn", "fp", "fn", "tp", *[real(n) for n in names])
 
 
+@query(
+    "metric_report",
+    v.ctes(v.TRAIN)
+    + """SELECT i::BIGINT AS position, m AS metric, round(x::DOUBLE, 6) AS value FROM (SELECT unnest([0, 4, 6, 7]) AS i, unnest(['n_rows', 'accuracy', 'precision', 'recall']) AS m, unnest([n, (tn + tp) / n, tp / (tp + fp), tp / (tp + fn)]) AS x
+FROM (SELECT count(*) AS n, count(*) FILTER (is_hit = 0 AND score < 0.6) AS tn, count(*) FILTER (is_hit = 0 AND score >= 0.6) AS fp,
+    count(*) FILTER (is_hit = 1 AND score < 0.6) AS fn, count(*) FILTER (is_hit = 1 AND score >= 0.6) AS tp FROM train))""",
+)
+def metric_report(spark, sf):
+    """The key metrics that a run has, in their fixed order."""
+    df = v.train(spark, sf).withColumn("prediction", (F.col("score") >= 0.6).cast("int"))
+    m = binary_metrics(confusion_counts(df)).first()
+    metrics = {"recall": m.recall, "precision": m.precision, "accuracy": m.accuracy, "n_rows": m.tn + m.fp + m.fn + m.tp, "model": "score"}
+    rows = tr.report(metrics, spark, REPORT_KEYS)
+    return rows.select(big("position"), "metric", F.round(F.col("value").cast("double"), 6).alias("value"))
+
+
 def _predictions(run, df):
     return run.score(df).select(run.split.key, "prediction", real("probability"))
 

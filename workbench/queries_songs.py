@@ -11,7 +11,7 @@ from hitloom.operators.ranking import mid_ranks, top_per_group
 from hitloom.session import settle
 from hitloom.sources import snapshots
 from workbench import views as v
-from workbench.registry import b, big, query, r, real
+from workbench.registry import big, query, r, real
 
 SONG_CHART = (v.SONGS, v.CHART, v.KEYED)
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from hitloom.operators import hypothesis as hy, metrics as mt
 from hitloom.operators.ranking import fixed_sample, with_folds, with_test_flag
 from workbench import views as v
-from workbench.registry import b, big, query, r, real
+from workbench.registry import query, r, real
 
 FEATURES = ["energy", "tempo", "danceability", "valence"]
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from hitloom.contracts import CHART_CONTRACT
 from hitloom.functions import calendar as cal
 from hitloom.functions import text as tx
-from hitloom.functions.numeric import lenient_double, or_default
+from hitloom.functions.numeric import or_default
 from hitloom.operators import charts, coercion as co, filters as fl, matching as m
 from hitloom.sources import snapshots, tables
 from workbench import views as v
