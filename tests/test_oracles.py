@@ -30,7 +30,9 @@ def duck():
 def test_query(spark, duck, name):
     if name in COVERED:
         pytest.skip("covered by test_models")
-    assert difference(spark, duck, FOLDER, name) is None
+    problem = difference(spark, duck, FOLDER, name)
+    # At this size a query may rightly find nothing, if DuckDB finds nothing either.
+    assert problem is None or (name in ORACLES and problem == "no rows")
 
 
 def test_contract(spark):
