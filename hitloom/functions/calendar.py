@@ -52,6 +52,18 @@ def calendar_of_years(years: DataFrame, sampling: str) -> DataFrame:
     return out.select(ord_, "chart_date")
 
 
+def on_sampling(day: Column, sampling: str) -> Column:
+    """Whether a date is on the calendar of its own year: a plain filter on chart dates."""
+    sampling = sampling.strip().lower()
+    if sampling not in SAMPLINGS:
+        raise ValueError(f"sampling is one of {SAMPLINGS}, not {sampling!r}")
+    if sampling == "yearly":
+        return day == saturday_from(F.make_date(F.year(day), F.lit(MID_YEAR[0]), F.lit(MID_YEAR[1])))
+    if sampling == "monthly":
+        return day == saturday_from(F.trunc(day, "month"))
+    return day == saturday_from(day)
+
+
 def listed_calendar(spark: SparkSession, text: str) -> DataFrame:
     """Chart dates given as a text list, kept in the order of the list."""
     listed = spark.range(1).select(F.posexplode(listed_values(F.lit(text))).alias("n", "day"))

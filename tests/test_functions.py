@@ -40,6 +40,9 @@ def test_calendar_sizes(spark, sampling, size):
     days = cal.chart_calendar(spark, 2019, 2000, sampling)
     assert days.count() == size
     assert days.where(F.weekday("chart_date") != 5).count() == 0
+    every = spark.range(7305).select(F.date_add(F.lit("2000-01-01").cast("date"), F.col("id").cast("int")).alias("chart_date"))
+    filtered = every.where(cal.on_sampling(F.col("chart_date"), sampling))
+    assert filtered.exceptAll(days.select("chart_date")).count() == 0 and filtered.count() == size
 
 
 def test_calendar_arguments(spark):

@@ -5,11 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from hitloom.operators import charts, eda, matching as m
-from hitloom.functions.calendar import calendar_of_years
+from hitloom.functions.calendar import on_sampling
 from hitloom.operators.coercion import with_label, with_minutes
 from hitloom.operators.ranking import mid_ranks, top_per_group
 from hitloom.session import settle
-from hitloom.sources import snapshots
 from workbench import views as v
 from workbench.registry import big, query, r, real
 
@@ -144,9 +143,7 @@ def run_summary(spark, sf):
 )
 def hit_rate_by_year(spark, sf):
     """Songs matched to the monthly chart snapshots; share of hits per release year."""
-    entries = v.chart(spark, sf)
-    years = entries.select(F.year("chart_date").alias("y")).distinct()
-    monthly = snapshots.on_calendar(entries, calendar_of_years(years, "monthly"))
+    monthly = v.chart(spark, sf).where(on_sampling(F.col("chart_date"), "monthly"))
     hits = charts.song_hits(v.songs(spark, sf), monthly)
     return eda.rate_by_year(with_label(hits), weight="copies").select(
         big("release_year"), "n", "hits", real("hit_rate")
