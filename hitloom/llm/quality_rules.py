@@ -30,7 +30,9 @@ BINS = 32  # of a factor e of squared distances
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 #: Transformed statistics and the least spread each is given: what ordinary writing varies by, such
 #: as a factor e of length, one repeated line of ten, or a repeated passage of a sixteenth.
-VECTOR = {"length": 1.0, "word_size": 0.1, "symbols": 0.1, "dup_lines": 0.3, "repeats": 0.25, "line_size": 0.5, "variety": 0.15}
+VECTOR = {"length": 1.0, "word_size": 0.1, "symbols": 0.1, "dup_lines": 0.3, "repeats": 0.25, "line_size": 0.7, "variety": 0.1}
+#: Word size is taken as if so many words of so many characters came on top: short texts vary more.
+PRIOR_WORDS, PRIOR_SIZE = 30, 5
 P = len(VECTOR)
 PAIRS = [(i, j) for i in range(P) for j in range(i, P)]
 
@@ -98,12 +100,12 @@ def vector() -> list[Column]:
     lines = F.greatest(F.col("n_lines"), F.lit(1)).cast("double")
     values = [
         F.log(words),
-        F.log(F.greatest(F.col("word_chars"), F.lit(1)) / words),
+        F.log((F.col("word_chars") + PRIOR_WORDS * PRIOR_SIZE) / (words + PRIOR_WORDS)),
         F.sqrt(F.col("n_symbols") / words),
         F.sqrt(F.col("n_dup_lines") / lines),
         F.sqrt(F.col("n_repeat_words") / words),
         F.log(words / lines),
-        F.log(words / F.greatest(F.col("n_distinct"), F.lit(1))),
+        F.log1p(F.col("n_distinct")) / F.log1p(words),
     ]
     return [v.alias(f"v{i}") for i, v in enumerate(values)]
 
