@@ -194,7 +194,7 @@ def robust_estimates(rows: DataFrame) -> DataFrame:
     """Minimum-covariance-determinant estimates of v0.. per ``grp``.
 
     Returns grp, centre, precision, and scale: what a squared distance is divided by, so that the
-    median row of the group has the chi-square law's median. All rows of a group count. Two starts
+    median row of the group lies no farther than the chi-square law's median. All rows of a group count. Two starts
     (moments of all rows; medians and quartiles) are concentrated: rows are ranked by distance in
     bins of their logarithm, the nearest ``SHARE`` of them give the next centre and covariance,
     until no determinant shrinks; the start with the smaller one wins. Bin counts and sums are the
@@ -228,7 +228,7 @@ def robust_estimates(rows: DataFrame) -> DataFrame:
     )
     far = rows.join(best, "grp").select("grp", _bin(_distance()).alias("bin"))
     middle = _cut(far, ["grp"], "bin", 0.5, "mid").select(
-        "grp", (F.exp((F.col("mid") + 0.5) / BINS) / chi2_quantile(P, 0.5)).alias("scale")
+        "grp", F.greatest(F.lit(1.0), F.exp((F.col("mid") + 0.5) / BINS) / chi2_quantile(P, 0.5)).alias("scale")
     )
     return settle(best.join(middle, "grp"))
 
