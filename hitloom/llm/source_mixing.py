@@ -171,7 +171,7 @@ def mix(
         "before + m = extra"
     ).select(*key, F.col("part").alias("cut"), F.lit(None).cast("long").alias("rest"))
     ends = cut.unionByName(full)
-    dealt = planned.join(ends, key, "left").withColumn("part", part)
+    dealt = planned.join(ends, key, "left").withColumn("part", part).repartition(*key, "part")  # not by length alone
     order = Window.partitionBy(*key, F.when(F.col("part") == F.col("cut"), F.col("part")).otherwise(-1 - F.col("part"))).orderBy("h", "doc_id")
     ranked = dealt.withColumn("rank", F.row_number().over(order))
     more = (
