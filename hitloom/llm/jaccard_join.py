@@ -191,7 +191,7 @@ def jaccard_join(
     exceeds it. In each pair of neighbouring size bands the sketch has one block more than that
     bound, so linked sets share a block, which is the join key. Equal sets count as one class, and a
     task puts out the keys of a class once. In each key's bucket all classes are checked against one
-    hub. Buckets that then still hold several components are joined with themselves, under the
+    hub, the class with most documents. Buckets that then still hold several components are joined with themselves, under the
     Hamming bound as join condition, across components only. So a bucket of n copies costs n
     checks, and no link between different texts is lost. Checks read whole texts.
     """
@@ -216,15 +216,13 @@ def jaccard_join(
     shared = (
         spread.select("*", F.min("h1").over(bucket).alias("low"), F.max("h1").over(bucket).alias("high"))
         .where("low <> high")
-        .drop("high")
+        .select("key", "side", "h1")
         .distinct()
     )
-    known = classes.select("h1", "rep", "n")
-    shared = settle(
-        shared.join(known, "h1").join(
-            known.select(F.col("h1").alias("low"), F.col("rep").alias("hub"), F.col("n").alias("hub_n")), "low"
-        ).select("key", "side", "h1", "rep", "n", "hub", "hub_n")
-    )
+    # The hub of a bucket is its class with most documents: of a text and its altered copies, the text.
+    largest = F.max(F.struct("size", (-F.col("rep")).alias("last"), "n")).over(bucket)
+    shared = shared.join(classes.select("h1", "rep", "n", "size"), "h1").select("key", "side", "h1", "rep", "n", largest.alias("top"))
+    shared = settle(shared.select("key", "side", "h1", "rep", "n", (-F.col("top.last")).alias("hub"), F.col("top.n").alias("hub_n")))
     near = den * F.least("n", "hub_n") >= num * F.greatest("n", "hub_n")
     first = settle(
         shared.where(near & (F.col("rep") != F.col("hub"))).select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct()
@@ -247,7 +245,7 @@ def jaccard_join(
             .select("h1", "sketch0", "sketch1").dropDuplicates(["h1"])
         )
         drawn = open_rows.join(marks, "h1").select(
-            "key", "rep", "n", "component", F.when(F.col("side") == 0, F.col("sketch0")).otherwise(F.col("sketch1")).alias("sketch")
+            "key", "side", "rep", "n", "component", F.when(F.col("side") == 0, F.col("sketch0")).otherwise(F.col("sketch1")).alias("sketch")
         )
         x, y = drawn.alias("x"), drawn.alias("y")
         total = F.col("x.n") + F.col("y.n")
@@ -255,6 +253,7 @@ def jaccard_join(
             x.join(
                 y,
                 (F.col("x.key") == F.col("y.key"))
+                & (F.col("x.side") + F.col("y.side") > 0)  # two of one band meet as its lower band's, too
                 & (F.col("x.rep") < F.col("y.rep"))
                 & (F.col("x.component") != F.col("y.component"))
                 & (den * F.least("x.n", "y.n") >= num * F.greatest("x.n", "y.n"))
