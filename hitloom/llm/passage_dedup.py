@@ -103,22 +103,21 @@ def _printed(length: int, every: int, bands: int):
     return run
 
 
-def _read(length: int, hashes: int):
-    """Five-word shingles and MinHash values of the wanted paragraphs of each text."""
+def _read(length: int):
+    """Five-word shingles of the wanted paragraphs of each text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out, sets, least = [], [], []
-            for text, wanted in zip(batch.column("text").to_pylist(), batch.column("wanted").to_pylist()):
+            out: list[int] = []
+            sets = []
+            for text, contents, starts in zip(*(batch.column(c).to_pylist() for c in ("text", "contents", "starts"))):
                 words = hashed(ascii_words(text))
-                for w in wanted:
-                    out.append(w["content"])
-                    own = words[w["start"] : w["start"] + length]
-                    sets.append(np.unique(shingled(own, WIDTH)).view(np.int64))
-                    least.append(signatures(own, np.array([0]), length, hashes)[1][0].view(np.int64))
+                size = min(length, len(words))
+                grams = shingled(words, WIDTH)[np.array(starts)[:, None] + np.arange(max(1, size - WIDTH + 1))].view(np.int64)
+                out += contents
+                sets += list(np.sort(grams, axis=1))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(out, pa.int64()), lists(sets, pa.int64(), np.int64), lists(least, pa.int64(), np.int64)],
-                names=["content", "grams", "least"],
+                [pa.array(out, pa.int64()), lists(sets, pa.int64(), np.int64)], names=["content", "grams"]
             )
 
     return run
@@ -129,10 +128,6 @@ def _similar(a: Column, b: Column, num: int, den: int) -> Column:
     return den * common >= num * (F.size(a) + F.size(b) - common)
 
 
-def _agree(a: Column, b: Column) -> Column:
-    return F.aggregate(F.zip_with(a, b, lambda x, y: (x == y).cast("int")), F.lit(0), lambda t, x: t + x)
-
-
 def repeated_passages(
     docs: DataFrame,
     *,
@@ -154,7 +149,7 @@ def repeated_passages(
     lower case, are one content. Contents that share a MinHash band are compared by exact Jaccard
     similarity of their five-word shingles; ``tuned_bands`` sets the bands for the wanted recall.
     Each content of a band is checked against one hub; bands that still hold several components
-    are joined with themselves across components, where half of all MinHash values agree. In each
+    are joined with themselves across components, with that test as join condition. In each
     component the smallest document keeps its paragraphs; those of the others are removed,
     overlapping ones as one passage.
 
@@ -188,11 +183,12 @@ def repeated_passages(
     wanted = shared.select("content").distinct()
     place = units.join(wanted, "content", "left_semi").groupBy("content").agg(F.min(F.struct("doc_id", "digest", "start")).alias("p"))
     asked = place.groupBy(F.col("p.doc_id").alias("doc_id"), F.col("p.digest").alias("digest")).agg(
-        F.collect_list(F.struct("content", F.col("p.start").alias("start"))).alias("wanted")
-    )
+        F.collect_list(F.struct("content", F.col("p.start").alias("start"))).alias("w")
+    ).select("doc_id", "digest", F.col("w.content").alias("contents"), F.col("w.start").alias("starts"))
     texts = settle(
         own.join(asked, ["doc_id", "digest"]).dropDuplicates(["doc_id", "digest"])
-        .mapInArrow(_read(length, bands * ROWS), "content long, grams array<long>, least array<long>")
+        .select("text", "contents", "starts").mapInArrow(_read(length), "content long, grams array<long>")
+        .select("content", F.array_distinct("grams").alias("grams"))
     )
 
     def verified(pairs: DataFrame) -> DataFrame:
@@ -206,18 +202,18 @@ def repeated_passages(
         "component", F.coalesce("component", "content")
     )
     several = member.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("key")
-    open_rows = settle(member.join(several, "key").join(texts.select("content", "least"), "content").select("key", "content", "component", "least"))
+    open_rows = settle(member.join(several, "key").join(texts, "content").select("key", "content", "component", "grams"))
     x, y = open_rows.alias("x"), open_rows.alias("y")
     second = (
         x.join(
             y,
             (F.col("x.key") == F.col("y.key")) & (F.col("x.content") < F.col("y.content"))
             & (F.col("x.component") != F.col("y.component"))
-            & (_agree(F.col("x.least"), F.col("y.least")) * 2 >= bands * ROWS),
+            & _similar(F.col("x.grams"), F.col("y.grams"), num, den),
         )
         .select(F.col("x.content").alias("a"), F.col("y.content").alias("b")).distinct()
     )
-    more = verified(second)
+    more = settle(second)
     if not more.isEmpty():
         label = components(links.unionByName(more))
 
