@@ -15,7 +15,9 @@ from hitloom.llm.words import ascii_words, hashed, lists, mixed, shingled, shipp
 from hitloom.operators.skew import salted_join
 from hitloom.session import settle
 
-BLOCK_BITS = 128
+BLOCK_BITS = 512
+LEAST_BITS = 3  # set bits that a block needs to be a key of its own
+ENOUGH = 124  # blocks among which linked sets agree on a good one, but for a chance under 1e-12
 SKETCH_BITS = 16  # for each difference that a pair may have
 LEVELS = 4
 
@@ -42,39 +44,47 @@ def differences(total: int, num: int, den: int) -> int:
     return (den - num) * total // (den + num)
 
 
-def _blocks(hashes: np.ndarray, blocks: int, seed: int) -> np.ndarray:
-    """Parity sketch in blocks: each hash flips one bit of one block."""
+def _blocks(hashes: np.ndarray, blocks: int, used: int, seed: int) -> np.ndarray:
+    """Parity sketch in blocks, the first ``used`` of them: each hash flips one bit of one block."""
     spot = mixed(hashes, seed)
     block = (spot >> np.uint64(32)) % np.uint64(blocks)
-    bit = spot % np.uint64(BLOCK_BITS)
-    flips = np.bincount((block * np.uint64(BLOCK_BITS) + bit).astype(np.int64), minlength=blocks * BLOCK_BITS)
-    return (flips & 1).astype(np.uint8).reshape(blocks, BLOCK_BITS)
+    place = (block * np.uint64(BLOCK_BITS) + spot % np.uint64(BLOCK_BITS))[block < np.uint64(used)]
+    flips = np.bincount(place.astype(np.int64), minlength=used * BLOCK_BITS)
+    return (flips & 1).astype(np.uint8).reshape(used, BLOCK_BITS)
 
 
 def block_keys(hashes: np.ndarray, domain: int, allowed: int, levels: int = LEVELS) -> np.ndarray:
-    """Join keys of a set: one for each block of its sketch.
+    """Join keys of a set: one for each good block of its sketch.
 
-    With one block more than differences, two linked sets agree in a block. A block with under two
-    set bits says little and would be a key of many sets; whoever has one uses the next level's
-    sketch (another seed) in its place. A block on which two sets agree is poor in both, so both go
-    on to that level, and no link is lost. The last level uses every block.
+    With one block more than differences, two linked sets agree in a block. A block with under
+    ``LEAST_BITS`` set bits says little and would be a key of many sets, so it is none; whoever has
+    one goes on to the next level's sketch (another seed). A block on which two sets agree is poor in
+    both, so both go on. The last level of a small sketch uses every block, so no link is lost.
+
+    Differences fall on blocks at random, so over a third of the blocks agree, and over half of
+    those are good at a similarity of 0.8 (more above it): sets miss each other in n blocks with a chance of 0.8 ** n at
+    most. So ``ENOUGH`` blocks, over all levels, are as safe as 64-bit hashes are, and larger sketches need no more.
     """
     if allowed == 0 or len(hashes) == 0:
         return np.array([], dtype=np.uint64)  # linked sets are equal
+    blocks = allowed + 1
+    used = min(blocks, ENOUGH)
+    small = levels * blocks < ENOUGH
+    levels = min(levels, -(-ENOUGH // used))
     found = []
     for level in range(levels):
-        bits = _blocks(hashes, allowed + 1, 11 + level)
-        poor = bits.sum(axis=1) < 2
-        words = np.packbits(bits, axis=1).view(np.uint64).reshape(allowed + 1, -1)
-        key = np.full(allowed + 1, domain * 64 + level, dtype=np.uint64)
-        key = mixed(key, 3) + np.arange(allowed + 1, dtype=np.uint64)
+        bits = _blocks(hashes, blocks, used, 11 + level)
+        poor = bits.sum(axis=1) < LEAST_BITS
+        words = np.packbits(bits, axis=1).view(np.uint64)
+        key = np.full(used, domain * 64 + level, dtype=np.uint64)
+        key = mixed(key, 3) + np.arange(used, dtype=np.uint64)
         for i in range(words.shape[1]):
             key = mixed(key, 5) ^ words[:, i]
         key = mixed(key, 7)
-        if level == levels - 1 or not poor.any():
-            found.append(key if level == levels - 1 else key[~poor])
+        last = level == levels - 1
+        found.append(key if last and small else key[~poor])
+        if last or not poor.any():
             break
-        found.append(key[~poor])
     return np.unique(np.concatenate(found))
 
 
@@ -189,7 +199,7 @@ def jaccard_join(
     Method: the symmetric difference of two linked sets is at most
     ``(den - num) * (|A| + |B|) / (den + num)``, and the Hamming distance of parity sketches never
     exceeds it. In each pair of neighbouring size bands the sketch has one block more than that
-    bound, so linked sets share a block, which is the join key. Equal sets count as one class, and a
+    bound, so linked sets share a block, which is the join key (see :func:`block_keys`). Equal sets count as one class, and a
     task puts out the keys of a class once. In each key's bucket all classes are checked against one
     hub, the class with most documents. Buckets that then still hold several components are joined with themselves, under the
     Hamming bound as join condition, across components only. So a bucket of n copies costs n
