@@ -23,16 +23,16 @@ LICENSES = (
     ("apache-1.1", "apache", r"apache(?: software)?(?: license)?(?: version)? 1 1"),
     ("gpl", "gnu", r"gnu general public license|gnu gpl"),
     ("gpl", "gpl", r"gpl"),
-    ("gpl-2", "gpl", r"gpl ?v?2(?: 0)?(?: only| or later)?"),
+    ("gpl-2", "gpl", r"(?:gnu )?gpl ?v?2(?: 0)?(?: only| or later)?"),
     ("gpl-2", "gnu", r"gnu general public license(?: as published by the free software foundation)? (?:version|v) ?2(?: 0)?"),
-    ("gpl-3", "gpl", r"gpl ?v?3(?: 0)?(?: only| or later)?"),
+    ("gpl-3", "gpl", r"(?:gnu )?gpl ?v?3(?: 0)?(?: only| or later)?"),
     ("gpl-3", "gnu", r"gnu general public license(?: as published by the free software foundation)? (?:version|v) ?3(?: 0)?"),
     ("lgpl", "lesser", r"(?:gnu )?lesser general public license"),
     ("lgpl", "library", r"(?:gnu )?library general public license"),
-    ("lgpl-2.1", "lgpl", r"lgpl ?v?2(?: 1)?(?: only| or later)?"),
-    ("lgpl-3", "lgpl", r"lgpl ?v?3(?: 0)?(?: only| or later)?"),
+    ("lgpl-2.1", "lgpl", r"(?:gnu )?lgpl ?v?2(?: 1)?(?: only| or later)?"),
+    ("lgpl-3", "lgpl", r"(?:gnu )?lgpl ?v?3(?: 0)?(?: only| or later)?"),
     ("agpl-3", "affero", r"(?:gnu )?affero general public license(?: (?:version|v) ?3(?: 0)?)?"),
-    ("agpl-3", "agpl", r"agpl(?: ?v?3(?: 0)?)?(?: only| or later)?"),
+    ("agpl-3", "agpl", r"(?:gnu )?agpl(?: ?v?3(?: 0)?)?(?: only| or later)?"),
     ("gfdl", "documentation", r"gnu free documentation license"),
     ("mpl-1.1", "mozilla", r"mozilla public license(?: version| v)? 1 1"),
     ("mpl-2", "mozilla", r"mozilla public license(?:(?: version| v)? 2(?: 0)?)?"),

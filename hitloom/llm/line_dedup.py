@@ -176,15 +176,15 @@ def line_dedup(
         F.xxhash64(F.coalesce(text, F.lit(""))).alias("__digest"),
     )
     marked = rows.join(
-        marks.select(F.col("doc_id").alias("__id"), F.col("digest").alias("__digest"), "gone", F.col("homes").alias("__homes")),
+        marks.select(F.col("doc_id").alias("__id"), F.col("digest").alias("__digest"), F.col("gone").alias("__gone"), F.col("homes").alias("__homes")),
         ["__id", "__digest"], "left",
     )
     lines = F.split(text, "\n", -1)
-    left = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains("gone", i.cast("long"))), "\n")
+    left = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains("__gone", i.cast("long"))), "\n")
     return marked.select(
-        *[F.when(F.col("gone").isNull(), text).otherwise(left).alias(c) if c == text_col else F.col(f"`{c}`") for c in kept],
+        *[F.when(F.col("__gone").isNull(), text).otherwise(left).alias(c) if c == text_col else F.col(f"`{c}`") for c in kept],
         F.coalesce(F.size(lines), F.lit(0)).cast("long").alias("n_lines"),
-        F.coalesce("gone", F.array().cast("array<bigint>")).alias("deleted"),
+        F.coalesce("__gone", F.array().cast("array<bigint>")).alias("deleted"),
         F.coalesce("__homes", F.array().cast("array<bigint>")).alias("homes"),
     )
 

@@ -25,7 +25,7 @@ SEED = 17
 
 def fill(sizes: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
     """How many documents of each size to take, of ``counts``, so that their sizes sum to ``budget``
-    or as near below as can be found.
+    or come as near as can be found.
 
     Each size first gives its share of the budget, rounded down. What is left is taken one by one
     from the sizes that lost most by rounding, until it is within ``REACH``; the last part is a
@@ -51,14 +51,16 @@ def fill(sizes: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
                 room = min(room, 1) if one else room
                 take[i] += room
                 left -= room * int(sizes[i])
-    top = min(left, REACH)
+    goal = min(left, REACH)
+    spare = sizes[(take < counts) & (sizes > 0)]
+    top = goal + (int(spare.min()) if len(spare) else 0)  # just above may be nearer
     first = np.full(top + 1, -1, dtype=np.int64)  # item by which a sum was reached first
     reached = np.zeros(top + 1, dtype=bool)
     reached[0] = True
     items: list[tuple[int, int, int]] = []
     for i in order:
         size, spare, part = int(sizes[i]), int(counts[i] - take[i]), 1
-        while size and spare > 0 and size <= top and not reached[top]:
+        while size and spare > 0 and size <= top and not reached[goal]:
             copies = min(part, spare)
             weight = copies * size
             if weight > top:
@@ -72,9 +74,10 @@ def fill(sizes: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
             reached |= new
             items.append((int(i), copies, weight))
             spare, part = spare - copies, part * 2
-        if reached[top]:
+        if reached[goal]:
             break
-    at = int(np.flatnonzero(reached)[-1])
+    sums = np.flatnonzero(reached)
+    at = int(sums[np.argmin(np.abs(sums - goal))])
     while at > 0:
         i, copies, weight = items[first[at]]
         take[i] += copies
