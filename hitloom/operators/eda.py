@@ -52,7 +52,10 @@ def correlations(df: DataFrame, columns: list[str], digits: int = 2) -> DataFram
     ]
     spread = df.select(F.explode(F.array(*cells)).alias("c")).select("c.*").dropna()
     moments = spread.groupBy("i", "j").agg(
-        F.covar_pop("x", "y").alias("xy"), F.stddev_pop("x").alias("sx"), F.stddev_pop("y").alias("sy")
+        F.covar_pop("x", "y").alias("xy"),
+        # Partial sums leave a trace of spread in a constant column, so its limits decide.
+        F.when(F.min("x") < F.max("x"), F.stddev_pop("x")).alias("sx"),
+        F.when(F.min("y") < F.max("y"), F.stddev_pop("y")).alias("sy"),
     )
     wanted = df.sparkSession.createDataFrame(
         [(i, j, a, b) for i, a in enumerate(columns) for j, b in enumerate(columns)],

@@ -39,7 +39,7 @@ def numeric_statistics(df: DataFrame, columns: list[str]) -> DataFrame:
     filled = [F.coalesce(F.col(c).cast("double"), F.element_at(known, c)) for c in columns]
     cells = [
         F.struct(
-            F.lit(c).alias("feature"), F.avg(x).alias("mean"), F.stddev_pop(x).alias("std"), F.max(F.element_at(known, c)).alias("median")
+            F.lit(c).alias("feature"), F.avg(x).alias("mean"), F.when(F.min(x) < F.max(x), F.stddev_pop(x)).otherwise(F.min(x) * 0).alias("std"), F.max(F.element_at(known, c)).alias("median")
         )
         for c, x in zip(columns, filled)
     ]

@@ -133,3 +133,16 @@ def test_hash_ranks(spark):
     rows = hash_ranks(df, ["g"], rk.hash_order(F.col("id"), 1), "i").collect()
     for g in (0, 1):
         assert sorted(r.i for r in rows if r.g == g) == list(range(250))
+
+
+def test_constant_columns_over_partitions(spark):
+    """A constant has no correlation and no spread, however its rows are dealt out."""
+    from hitloom.operators.eda import correlations
+    from hitloom.operators.preparation import numeric_statistics
+
+    for parts in (3, 7, 13):
+        df = spark.range(1000).selectExpr("0.1D AS a", "id * 0.3D AS b", "1D / 3 AS c").repartition(parts)
+        got = {(r.feature_a, r.feature_b): r["corr"] for r in correlations(df, ["a", "b", "c"]).collect()}
+        assert got[("b", "b")] == 1.0 and all(v is None for k, v in got.items() if k != ("b", "b"))
+        spread = {r.feature: r["std"] for r in numeric_statistics(df, ["a", "b", "c"]).collect()}
+        assert spread["a"] == 0.0 and spread["c"] == 0.0 and spread["b"] > 1
