@@ -122,4 +122,10 @@ QUERIES = {f.__name__: f for f in (
     op1_packing, op2_line_dedup, op3_exact_dedup, op4_passage_dedup, op5_license_scan, op6_source_mixing,
     op7_jaccard_join, op8_chat_format, op9_secret_scan, op10_quality_rules,
 )}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op3_exact_dedup": """
+    WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents)
+    SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
+      doc_id = max(doc_id) OVER w AS kept, sha256(t) AS text_sha256
+    FROM d WINDOW w AS (PARTITION BY t)""",
+}
