@@ -15,7 +15,7 @@ FIELDS = {
     "peakPos": "peak_rank",
     "lastPos": "last_week_rank",
 }
-LANDED = "chart_date date, rank bigint, title string, artist string, weeks bigint, peakPos bigint, lastPos bigint"
+LANDED = "chart_date date, rank bigint, title string, artist string, weeks bigint, peakPos bigint, lastPos bigint, chart_name string"
 COLUMNS = (
     "chart_name",
     "chart_date",
@@ -29,9 +29,12 @@ COLUMNS = (
 
 
 def entry_columns(landed: DataFrame, chart_name: str = CHART_NAME) -> DataFrame:
-    """Landed entries under the names of the chart table."""
+    """Landed entries under the names of the chart table; those that name no chart are of ``chart_name``."""
     named = landed.withColumnsRenamed({k: n for k, n in FIELDS.items() if k in landed.columns})
-    return named.withColumn("chart_name", F.lit(chart_name)).select(*COLUMNS)
+    own = F.lit(chart_name)
+    if "chart_name" in landed.columns:
+        own = F.coalesce("chart_name", own)
+    return named.withColumn("chart_name", own).select(*COLUMNS)
 
 
 def read_snapshots(

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -12,22 +15,39 @@ from hitloom.session import settle
 from hitloom.sources.snapshots import LANDED, entry_columns
 
 
+ENTRY = ["chart_name", "chart_date", "rank", "track_name", "artist_name"]
+_KNOWN = "chart_name string, chart_date date, rank bigint, track_name string, artist_name string, batch bigint, chart_year int"
+
+
 def snapshot_stream(
-    spark: SparkSession, folder: str, kind: str = "json", late: str = "60 days", files_per_batch: int = 100
+    spark: SparkSession, folder: str, kind: str = "json", files_per_batch: int = 100
 ) -> DataFrame:
-    """Chart entries as they land; an entry that lands twice within the watermark counts once."""
+    """Chart entries as they land, in any order of dates."""
     landed = (
         spark.readStream.schema(LANDED)
         .format(kind)
         .option("maxFilesPerTrigger", files_per_batch)
         .load(folder)
     )
-    entries = entry_columns(landed).withColumn("event_time", F.col("chart_date").cast("timestamp"))
-    return (
-        entries.withWatermark("event_time", late)
-        .dropDuplicatesWithinWatermark(["chart_date", "rank"])
-        .drop("event_time")
-    )
+    return entry_columns(landed)
+
+
+def new_entries(batch: DataFrame, out: str, number: int) -> DataFrame:
+    """Entries of a batch that no earlier batch has stored, one row per entry.
+
+    Landed history has no order of dates, so nothing is late: the stored entries of the batch's
+    years (few values, hence a broadcast) are compared, and other years' folders are not read.
+    """
+    rows = batch.dropDuplicates(ENTRY).withColumn("chart_year", F.year("chart_date"))
+    if number == 0:
+        return rows
+    rows = settle(rows)
+    years = F.broadcast(rows.select("chart_year").distinct())
+    stored = batch.sparkSession.read.schema(_KNOWN).parquet(f"{out}/entries").where(F.col("batch") < number)
+    # An entry without a date has no year; eqNullSafe finds it in the default folder.
+    known = stored.join(years, stored["chart_year"].eqNullSafe(years["chart_year"]), "left_semi")
+    same = reduce(and_, (rows[c].eqNullSafe(known[c]) for c in ENTRY))
+    return rows.join(known, same, "left_anti")
 
 
 def merge_aggregates(parts: DataFrame) -> DataFrame:
@@ -48,18 +68,26 @@ def ingest(
 ) -> StreamingQuery:
     """Match every new batch of entries to the songs and store its song aggregates.
 
-    A batch writes its own folder and overwrites it when it is retried, so each entry counts
-    once whatever fails. :func:`current_aggregates` folds the folders.
+    An entry is told by chart, date, rank, title and artist; the first one stored counts, landing
+    again changes nothing. A batch writes its own folders (entries and aggregates), reads only
+    those of earlier batches, and overwrites its own when it is retried, so each entry counts
+    once whatever fails and however the files fall into batches. :func:`current_aggregates` folds
+    the aggregates.
     """
     keys = settle(song_keys)
 
     def store(batch: DataFrame, number: int) -> None:
-        ordered = batch.withColumns(
+        fresh = settle(new_entries(batch, out, number))
+        (
+            fresh.select(*ENTRY, "chart_year").write.mode("overwrite")
+            .partitionBy("chart_year").parquet(f"{out}/entries/batch={number}")
+        )
+        ordered = fresh.drop("chart_year").withColumns(
             {"date_ord": F.unix_date("chart_date").cast("bigint"), "row_ord": F.col("rank")}
         )
         charted = settle(entry_summaries(ordered))
         found = key_aggregates(keys, charted, threshold)
-        found.write.mode("overwrite").parquet(f"{out}/batch={number}")
+        found.write.mode("overwrite").parquet(f"{out}/parts/batch={number}")
 
     return (
         stream.writeStream.foreachBatch(store)
@@ -70,4 +98,4 @@ def ingest(
 
 
 def current_aggregates(spark: SparkSession, out: str) -> DataFrame:
-    return merge_aggregates(spark.read.parquet(out).drop("batch"))
+    return merge_aggregates(spark.read.parquet(f"{out}/parts").drop("batch"))
