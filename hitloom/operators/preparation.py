@@ -99,6 +99,8 @@ def fit_preparation(
     parts = []
     for c in numeric:
         s = stats[c]
+        if s["median"] is None and s["mean"] is not None:
+            raise ValueError(f"{c} has values but no median")
         filled = f"coalesce(CAST(`{c}` AS DOUBLE), {_number(s['median'] if s['median'] is not None else 0.0)})"
         if scale:
             filled = f"({filled} - {_number(s['mean'] or 0.0)}) / {_number(s['std'] or 1.0)}"

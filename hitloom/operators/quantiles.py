@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from math import ceil, floor
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -10,34 +12,55 @@ ACCURACY = 10_000
 MARGIN = 4.0 / ACCURACY  # wider than the rank error of the sketch
 
 
+def _bracketed(df: DataFrame, number: dict, asked: list[tuple[str, float]]) -> list[tuple]:
+    """(column, p, lo, hi, total, below) per asked quantile whose column has values; its ranks lie in lo..hi.
+
+    A sketch proposes brackets, one aggregate counts the values below and inside them, and those
+    that miss a rank are proposed again wider, at last from the least to the greatest value.
+    """
+    done, margin = [], MARGIN
+    while asked:
+        sides: dict[str, list[float]] = {}
+        for c, p in asked:
+            sides.setdefault(c, []).extend((max(0.0, p - margin), min(1.0, p + margin)))
+        found = df.agg(*[F.percentile_approx(number[c], x, ACCURACY).alias(c) for c, x in sides.items()]).first()
+        ends = {c: iter(found[c]) for c in sides if found[c]}
+        spans = [(c, p, next(ends[c]), next(ends[c])) for c, p in asked if c in ends]
+        if not spans:
+            break
+        cells = [
+            F.struct(F.count(x).alias("total"), F.count_if(x < lo).alias("below"), F.count_if(x.between(lo, hi)).alias("inside"))
+            for x, lo, hi in ((number[c], lo, hi) for c, _, lo, hi in spans)
+        ]
+        asked = []
+        for (c, p, lo, hi), k in zip(spans, df.agg(F.array(*cells).alias("k")).first()["k"]):
+            spot = (k["total"] - 1) * p
+            if margin >= 1 or (k["below"] <= floor(spot) and ceil(spot) < k["below"] + k["inside"]):
+                done.append((c, p, lo, hi, k["total"], k["below"]))
+            else:
+                asked.append((c, p))
+        margin = max(16 * margin, 4.0 / ACCURACY)
+    return done
+
+
 def exact_quantiles(df: DataFrame, columns: list[str], shares: list[float]) -> DataFrame:
     """Interpolated quantiles per column, as (feature, p, value); NULLs are left out.
 
-    A sketch brackets each quantile with two values per column and share. One aggregate counts
-    the values below each bracket; the few inside it are grouped and ranked, so ranking sees
-    about ``2 * MARGIN`` of the rows and each value once.
+    Each quantile is bracketed by two values (see :func:`_bracketed`); the few values inside are
+    grouped and ranked, so ranking sees about ``2 * MARGIN`` of the rows and each value once.
     """
-    sides = [x for p in shares for x in (max(0.0, p - MARGIN), min(1.0, p + MARGIN))]
+    spark = df.sparkSession
     number = {c: F.col(c).cast("double") for c in columns}
-    sketch = df.agg(*[F.percentile_approx(number[c], sides, ACCURACY).alias(c) for c in columns])
-    found = sketch.first()
-    brackets = [
-        (i, p, number[c], found[c][2 * j], found[c][2 * j + 1])
-        for i, c in enumerate(columns)
-        for j, p in enumerate(shares)
-        if found[c]
-    ]
-    if not brackets:
-        return df.sparkSession.createDataFrame([], "feature string, p double, value double")
-    counts = [
-        F.struct(
-            F.lit(i).alias("i"), F.lit(p).alias("p"), F.count(x).alias("total"), F.count_if(x < lo).alias("below")
-        )
-        for i, p, x, lo, _ in brackets
-    ]
-    outside = df.agg(F.array(*counts).alias("c")).select(F.inline("c"))
+    found = _bracketed(df, number, [(c, p) for c in columns for p in dict.fromkeys(shares)])
+    if not found:
+        return spark.createDataFrame([], "feature string, p double, value double")
+    place = {c: i for i, c in enumerate(columns)}
+    brackets = [(place[c], p, number[c], lo, hi) for c, p, lo, hi, _, _ in found]
+    outside = spark.createDataFrame(
+        [(place[c], float(p), total, below) for c, p, _, _, total, below in found], "i int, p double, total long, below long"
+    )
     cells = [
-        F.struct(F.lit(i).alias("i"), F.lit(p).alias("p"), F.when(x.between(lo, hi), x).alias("v"))
+        F.struct(F.lit(i).alias("i"), F.lit(float(p)).alias("p"), F.when(x.between(lo, hi), x).alias("v"))
         for i, p, x, lo, hi in brackets
     ]
     inside = df.select(F.explode(F.array(*cells)).alias("c")).select("c.*").where(F.col("v").isNotNull())

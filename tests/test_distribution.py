@@ -146,3 +146,13 @@ def test_constant_columns_over_partitions(spark):
         assert got[("b", "b")] == 1.0 and all(v is None for k, v in got.items() if k != ("b", "b"))
         spread = {r.feature: r["std"] for r in numeric_statistics(df, ["a", "b", "c"]).collect()}
         assert spread["a"] == 0.0 and spread["c"] == 0.0 and spread["b"] > 1
+
+
+def test_quantile_brackets_that_miss_are_widened(spark, monkeypatch):
+    from hitloom.operators import quantiles
+
+    monkeypatch.setattr(quantiles, "MARGIN", 0.0)
+    a = np.random.default_rng(3).normal(size=4000)
+    rows = spark.createDataFrame([(float(x), None) for x in a], "a double, none double")
+    got = {(r.feature, r.p): r.value for r in exact_quantiles(rows, ["a", "none"], [0.1, 0.5, 0.77]).collect()}
+    assert got == {("a", p): pytest.approx(np.quantile(a, p), abs=1e-12) for p in (0.1, 0.5, 0.77)}
