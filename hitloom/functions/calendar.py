@@ -70,3 +70,14 @@ def listed_calendar(spark: SparkSession, text: str) -> DataFrame:
     return listed.select(
         F.col("n").cast("bigint").alias("date_ord"), F.col("day").try_cast("date").alias("chart_date")
     )
+
+
+def run_calendar(
+    spark: SparkSession, listed: str | None = None, years: tuple[int, int] | None = None, sampling: str = "monthly"
+) -> DataFrame:
+    """Chart dates of a run: those listed, if any are, else the sampled ones of the years."""
+    if listed and listed.strip():
+        return listed_calendar(spark, listed)
+    if years is None:
+        raise ValueError("give chart dates or a range of years")
+    return chart_calendar(spark, *years, sampling)

@@ -9,7 +9,6 @@ from pyspark.sql import types as T
 from hitloom.contracts import (
     ARTIST_CONTRACT,
     ARTIST_NAMES,
-    AUDIO_COLUMNS,
     CHART_CONTRACT,
     DISPLAY_NAMES,
     POPULARITY_NAMES,
@@ -130,15 +129,6 @@ def numeric_choices(df: DataFrame, contract: FeatureContract) -> list[str]:
     ]
 
 
-def audio_payload(df: DataFrame) -> DataFrame:
-    """Audio columns that a table has, with the song's names renamed for attachment."""
-    return df.select(
-        F.col("track_name").alias("track_name_kaggle"),
-        F.col("artist_name").alias("artist_name_kaggle"),
-        *[c for c in AUDIO_COLUMNS if c in df.columns],
-    )
-
-
 def display_names(df: DataFrame) -> DataFrame:
     return df.withColumnsRenamed({k: n for k, n in DISPLAY_NAMES.items() if k in df.columns})
 

@@ -45,6 +45,14 @@ def test_calendar_sizes(spark, sampling, size):
     assert filtered.exceptAll(days.select("chart_date")).count() == 0 and filtered.count() == size
 
 
+def test_listed_dates_come_before_years(spark):
+    listed = cal.run_calendar(spark, "2001-01-13", (2000, 2001))
+    assert [str(r.chart_date) for r in listed.collect()] == ["2001-01-13"]
+    assert cal.run_calendar(spark, " ", (2000, 2001), "yearly").count() == 2
+    with pytest.raises(ValueError):
+        cal.run_calendar(spark)
+
+
 def test_calendar_arguments(spark):
     with pytest.raises(ValueError):
         cal.chart_calendar(spark, 2000, 2001, "daily")

@@ -147,10 +147,6 @@ TRAIN = """train AS (
     ((l_orderkey * 7919 + l_linenumber * 104729) % 1000) / 1000.0::DOUBLE AS score
   FROM lineitem)"""
 
-DOCS = """docs AS (
-  SELECT doc_id, coalesce(quality, 0) AS is_hit, quality AS raw_label, n_chars::DOUBLE AS energy,
-    length(text)::DOUBLE AS tempo, lang AS genre, source AS artist_name
-  FROM documents LEFT JOIN labels USING (doc_id))"""
 
 def norm_sql(column: str) -> str:
     """Match text of a column, in DuckDB."""
