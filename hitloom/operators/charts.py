@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from hitloom.contracts import AUDIO_COLUMNS, CHART_FEATURE_LITERAL, MATCH_THRESHOLD
 from hitloom.functions.numeric import lenient_double, or_default
+from hitloom.operators.coercion import require_columns
 from hitloom.operators.matching import KEY, best_song, match_pairs, with_match_key
 from hitloom.operators.skew import salted_join
 from hitloom.session import settle
@@ -114,6 +115,7 @@ def song_hits(
     """
     if repeats not in ("once", "rows"):
         raise ValueError(f"repeats is 'once' or 'rows', not {repeats!r}")
+    require_columns(songs, *RAW)
     names, charted = settle(song_names(songs)), settle(entry_summaries(entries))
     known = name_lookup(names.dropna(subset=RAW), charted, threshold)
     sizes = names.select(*RAW, F.col("copies").alias("n"))
@@ -164,6 +166,7 @@ def chart_features(
 
     The best score stays on every row; an entry below the threshold keeps chart columns only.
     """
+    require_columns(songs, *RAW)
     audio = [c for c in AUDIO_COLUMNS if c in songs.columns]
     payload = songs.select(
         "song_ord",
@@ -171,9 +174,10 @@ def chart_features(
         F.col("artist_name").alias("artist_name_kaggle"),
         *audio,
     )
-    matched = best_matches(songs, entries).withColumn(
+    # Written once: the join below reads it for its hot keys, their total and its rows.
+    matched = settle(best_matches(songs, entries).withColumn(
         "song_ord", F.when(F.col("kaggle_match_score") >= threshold, F.col("song_ord"))
-    )
+    ))
     joined = salted_join(matched, payload, ["song_ord"], "left").drop("song_ord")
     if source is not None:
         joined = joined.withColumn("kaggle_csv", F.lit(source))

@@ -121,3 +121,12 @@ def test_chart_features_below_threshold_keep_score(spark):
     assert (rows[1].kaggle_match_score, rows[1].energy, rows[1].is_hit) == (1.0, 0.5, 1)
     assert (rows[2].kaggle_match_score, rows[2].energy, rows[2].track_name_kaggle, rows[2].is_hit) == (0.7, None, None, 0)
     assert (rows[3].kaggle_match_score, rows[3].is_hit, rows[3].kaggle_csv) == (0.0, None, "f.csv")
+
+
+def test_songs_need_title_and_artist(spark):
+    from hitloom.operators.charts import chart_features, song_hits
+
+    songs = spark.createDataFrame([("Blue", 1)], "track_name string, song_ord long")
+    for plan in (song_hits, chart_features):
+        with pytest.raises(ValueError, match="artist_name"):
+            plan(songs, songs)
