@@ -11,13 +11,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from hitloom.llm.graph import components
-from hitloom.llm.words import ODD, ascii_words, hashed, lists, mixed, shingled, shipped
+from hitloom.llm.words import ODD, ascii_words, hashed, mixed, shingled, shipped
 from hitloom.operators.skew import salted_join
 from hitloom.session import settle
 
 LENGTH = 16  # words of a paragraph
 EVERY = 34  # a paragraph begins in each run of so many words
 WIDTH = 5
+PIECE = 1 << 17  # words that are hashed together
 RECALL = 0.95
 ROWS = 2
 
@@ -42,83 +43,122 @@ def _windowed(x: np.ndarray, width: int, best) -> np.ndarray:
     return out
 
 
-def starts_of(words: np.ndarray, length: int, every: int) -> np.ndarray:
-    """Word positions at which paragraphs begin.
+def starts_of(words: np.ndarray, sizes: np.ndarray, length: int, every: int) -> tuple[np.ndarray, np.ndarray]:
+    """Where paragraphs begin in texts of ``sizes`` words, laid end to end in ``words``.
 
-    A position is one if the hash of the three words from it is the least in some run of ``every``
-    positions. So a passage of ``length + every - 1`` words has a paragraph of its own wherever it
-    stands, and the same one in every document.
+    Returns the text and the word position in it of each paragraph, in order. A position is one if
+    the hash of the three words from it is the least in some run of ``every`` positions of its text,
+    or among all if there are fewer. So a passage of ``length + every - 1`` words has a paragraph of
+    its own wherever it stands, and the same one in every document. Each text has ``length`` words
+    at least.
     """
-    n = len(words)
-    if n < length:
-        return np.array([0] if n else [], np.int64)
-    key = mixed(shingled(words, 3)[: n - length + 1], 77) | np.uint64(1)
-    m = len(key)
-    if m <= every:
-        return np.flatnonzero(key == key.min())
-    low = _windowed(key, every, np.minimum)
+    usable = sizes - length + 1
+    room = np.maximum(usable, every)
+    texts = np.repeat(np.arange(len(sizes)), usable)
+    at = np.arange(usable.sum()) - np.repeat(np.cumsum(usable) - usable, usable)
+    key = mixed(shingled(words, 3)[at + (np.cumsum(sizes) - sizes)[texts]], 77) | np.uint64(1)
+    first = np.cumsum(room) - room
+    spot = at + first[texts]
+    padded = np.full(room.sum(), np.iinfo(np.uint64).max)
+    padded[spot] = key
+    low = _windowed(padded, every, np.minimum)
+    whole = np.zeros(len(padded) + 1, np.int64)  # runs that lie within one text
+    whole[first] += 1
+    whole[first + room - every + 1] -= 1
+    low[np.cumsum(whole)[: len(low)] == 0] = 0
     pad = np.zeros(every - 1, np.uint64)
-    return np.flatnonzero(_windowed(np.concatenate([pad, low, pad]), every, np.maximum) == key)
+    best = _windowed(np.concatenate([pad, low, pad]), every, np.maximum)[spot] == key
+    return texts[best], at[best]
 
 
 def signatures(words: np.ndarray, starts: np.ndarray, length: int, hashes: int) -> tuple[np.ndarray, np.ndarray]:
-    """Content hash and MinHash values of the paragraphs at ``starts``."""
+    """Content hash and MinHash values (one row per hash) of the paragraphs at ``starts``."""
     length = min(length, len(words))
-    own = words[starts[:, None] + np.arange(length)]
     with np.errstate(over="ignore"):
         content = np.full(len(starts), length, np.uint64)
         for i in range(length):
-            content = mixed(content * ODD[2] + own[:, i])
-        small = shingled(words, WIDTH)
-        grams = small[starts[:, None] + np.arange(max(1, length - WIDTH + 1))]
-        least = np.stack([mixed(grams * ODD[k % 5], k).min(axis=1) for k in range(hashes)], axis=1)
+            content = mixed(content * ODD[2] + words[starts + i])
+        grams = shingled(words, WIDTH)[np.arange(max(1, length - WIDTH + 1))[:, None] + starts]
+        least = np.stack([mixed(grams * ODD[k % 5], k).min(axis=0) for k in range(hashes)])
     return content, least
 
 
+def _pieces(texts: list[str | None], length: int) -> Iterator[tuple[list[int], np.ndarray, np.ndarray]]:
+    """Hashed words of texts laid end to end, with their places in ``texts`` and their sizes.
+
+    A text of fewer than ``length`` words comes alone, one without words not at all. A piece ends
+    with the text that fills it.
+    """
+    places: list[int] = []
+    words: list[bytes] = []
+    sizes: list[int] = []
+    for place, text in enumerate(texts):
+        own = ascii_words(text)
+        if 0 < len(own) < length:
+            yield [place], hashed(own), np.array([len(own)])
+        elif own:
+            places.append(place)
+            words += own
+            sizes.append(len(own))
+            if len(words) >= PIECE:
+                yield places, hashed(words), np.array(sizes)
+                places, words, sizes = [], [], []
+    if places:
+        yield places, hashed(words), np.array(sizes)
+
+
 def _printed(length: int, every: int, bands: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            seen: set[int] = set()
-            rows = []
+            n = np.zeros(batch.num_rows, np.int64)
             none = np.array([], np.int64)
-            for text in batch.column("text").to_pylist():
-                words = hashed(ascii_words(text))
-                starts = starts_of(words, length, every)
-                if not len(starts):
-                    rows.append((0, none, none, none, none))
-                    continue
-                content, least = signatures(words, starts, length, bands * ROWS)
-                content = content.view(np.int64)
-                new = [i for i, c in enumerate(content.tolist()) if not (c in seen or seen.add(c))]
+            found = []
+            for places, words, sizes in _pieces(batch.column("text").to_pylist(), length):
+                n[places] = sizes
+                if sizes[0] < length:
+                    texts = starts = np.array([0])
+                else:
+                    texts, starts = starts_of(words, sizes, length, every)
+                content, least = signatures(words, starts + (np.cumsum(sizes) - sizes)[texts], length, bands * ROWS)
                 with np.errstate(over="ignore"):
-                    key = np.stack([mixed(least[new, ROWS * b] * ODD[0] + least[new, ROWS * b + 1], b) for b in range(bands)], axis=1)
-                rows.append((len(words), starts, content, key.reshape(-1).view(np.int64), content[new]))
-            part = list(zip(*rows)) or [()] * 5
+                    key = np.stack([mixed(least[ROWS * b] * ODD[0] + least[ROWS * b + 1], b) for b in range(bands)], axis=1)
+                found.append((np.array(places)[texts], starts, content.view(np.int64), key.view(np.int64)))
+            if found:
+                place, starts, content, key = (np.concatenate(x) for x in zip(*found))
+                order = np.argsort(place, kind="stable")
+                place, starts, content, key = place[order], starts[order], content[order], key[order]
+            else:
+                place, starts, content, key = none, none, none, none.reshape(0, bands)
+            new = np.sort(np.unique(content, return_index=True)[1])
+            rows = np.arange(batch.num_rows + 1)
+            each, fresh = np.searchsorted(place, rows), np.searchsorted(place[new], rows)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("digest"), pa.array(part[0], pa.int64()),
-                 *[lists(list(x), pa.int64(), np.int64) for x in part[1:]]],
+                [batch.column("doc_id"), batch.column("digest"), pa.array(n),
+                 _ragged(each, starts), _ragged(each, content), _ragged(fresh * bands, key[new].reshape(-1)), _ragged(fresh, content[new])],
                 names=["doc_id", "digest", "n", "starts", "contents", "bands", "fresh"],
             )
 
     return run
 
 
+def _ragged(ends: np.ndarray, values: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(values, pa.int64()))
+
+
 def _read(length: int):
     """Five-word shingles of the wanted paragraphs of each text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[int] = []
-            sets = []
-            for text, contents, starts in zip(*(batch.column(c).to_pylist() for c in ("text", "contents", "starts"))):
-                words = hashed(ascii_words(text))
-                size = min(length, len(words))
-                grams = shingled(words, WIDTH)[np.array(starts)[:, None] + np.arange(max(1, size - WIDTH + 1))].view(np.int64)
-                out += contents
-                sets += list(np.sort(grams, axis=1))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(out, pa.int64()), lists(sets, pa.int64(), np.int64)], names=["content", "grams"]
-            )
+            contents, starts = ([np.array(x, np.int64) for x in batch.column(c).to_pylist()] for c in ("contents", "starts"))
+            for places, words, sizes in _pieces(batch.column("text").to_pylist(), length):
+                at = np.concatenate([starts[p] + before for p, before in zip(places, np.cumsum(sizes) - sizes)])
+                width = max(1, min(length, sizes[0]) - WIDTH + 1)
+                grams = np.sort(shingled(words, WIDTH)[at[:, None] + np.arange(width)].view(np.int64), axis=1)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate([contents[p] for p in places])), _ragged(np.arange(len(at) + 1) * width, grams.reshape(-1))],
+                    names=["content", "grams"],
+                )
 
     return run
 
@@ -181,9 +221,11 @@ def repeated_passages(
     )
     first = settle(shared.where("content <> hub").select(F.col("hub").alias("a"), F.col("content").alias("b")).distinct())
     wanted = shared.select("content").distinct()
-    place = units.join(wanted, "content", "left_semi").groupBy("content").agg(F.min(F.struct("doc_id", "digest", "start")).alias("p"))
-    asked = place.groupBy(F.col("p.doc_id").alias("doc_id"), F.col("p.digest").alias("digest")).agg(
-        F.collect_list(F.struct("content", F.col("p.start").alias("start"))).alias("w")
+    place = units.join(wanted, "content", "left_semi").withColumn("rank", F.xxhash64("doc_id", "digest", "start")).groupBy("content").agg(
+        *[F.min_by(c, "rank").alias(c) for c in ("doc_id", "digest", "start")]
+    )
+    asked = place.groupBy("doc_id", "digest").agg(
+        F.collect_list(F.struct("content", "start")).alias("w")
     ).select("doc_id", "digest", F.col("w.content").alias("contents"), F.col("w.start").alias("starts"))
     texts = settle(
         own.join(asked, ["doc_id", "digest"]).dropDuplicates(["doc_id", "digest"])
