@@ -221,10 +221,10 @@ def repeated_passages(
     )
     first = settle(shared.where("content <> hub").select(F.col("hub").alias("a"), F.col("content").alias("b")).distinct())
     wanted = shared.select("content").distinct()
-    # A content of very many places is folded in each task before it is joined.
+    # A content of very many places is folded in each task, then joined; a semi-join would be moved below the fold.
     place = units.withColumn("rank", F.xxhash64("doc_id", "digest", "start")).groupBy("content").agg(
         *[F.min_by(c, "rank").alias(c) for c in ("doc_id", "digest", "start")]
-    ).join(wanted, "content", "left_semi")
+    ).join(wanted, "content")
     asked = place.groupBy("doc_id", "digest").agg(
         F.collect_list(F.struct("content", "start")).alias("w")
     ).select("doc_id", "digest", F.col("w.content").alias("contents"), F.col("w.start").alias("starts"))
@@ -262,7 +262,7 @@ def repeated_passages(
 
     # Documents of each component: those of its contents.
     linked = label.withColumnRenamed("node", "content")
-    spots = units.groupBy("content").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")).join(linked, "content", "left_semi")
+    spots = units.groupBy("content").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")).join(linked.select("content"), "content")
     known = equal.unionByName(spots).groupBy("content").agg(F.min("first").alias("first"), F.max("n").alias("n"))
     named = known.join(linked, "content", "left").withColumn("component", F.coalesce("component", "content"))
     keeper = settle(named.select("content", "n", F.min("first").over(Window.partitionBy("component")).alias("keep_id")))
