@@ -17,9 +17,10 @@ from hitloom.llm.exact_dedup import exact_dedup
 from hitloom.llm.graph import components
 from hitloom.llm.line_dedup import line_dedup, patience
 from hitloom.llm.packing import Windows, pack
-from hitloom.llm.passage_dedup import repeated_passages, tuned_bands
+from hitloom.llm.passage_dedup import repeated_passages, starts_of, tuned_bands
 from hitloom.llm.quality_rules import quality_rules, repeated_words
 from hitloom.llm.source_mixing import fill, mix, targets
+from hitloom.llm.words import mixed, shingled
 
 FOLDER = "/root/testdata/sf0.001"
 KIND = "doc_id long, text string, lang string, source string, n_chars long, digest string, size string, kept string, h long"
@@ -162,6 +163,19 @@ def test_passages(spark, texts):
     assert {r.doc_id for r in repeated_passages(messy).collect()} == {5}
 
 
+def test_paragraphs_begin_alike_in_any_company():
+    rng = np.random.default_rng(3)
+    own = [rng.integers(0, 1 << 60, n, dtype=np.uint64) for n in (16, 17, 48, 49, 50, 51, 83, 400, 16, 2000)]
+    own += [np.full(90, 7, np.uint64)]  # equal words: every position ties
+    want = []
+    for i, words in enumerate(own):
+        key = [int(x) for x in mixed(shingled(words, 3)[: len(words) - 15], 77) | np.uint64(1)]
+        runs = [range(k, k + 34) for k in range(len(key) - 33)] or [range(len(key))]
+        want += [(i, k) for k in sorted({k for r in runs for k in r if key[k] == min(key[j] for j in r)})]
+    texts, starts = starts_of(np.concatenate(own), np.array([len(w) for w in own]), 16, 34)
+    assert list(zip(texts.tolist(), starts.tolist())) == want
+
+
 def test_licenses(spark, texts):
     extra = [(9001, "Under the MIT License; apache-license: version 2.0\ncc by nc"), (9002, "licensed under the GNU GPL v3 or later"), (9003, "emit license"), (9004, None), (9005, "CC-BY-NC")]
     df = spark.createDataFrame(texts + extra, "doc_id long, text string")
