@@ -1,4 +1,4 @@
-"""Substring dedup: passages as paragraphs cut by content, MinHash bands, exact checks, components."""
+"""Substring dedup: paragraphs and runs picked by content, MinHash bands, exact checks, components, common runs."""
 
 from __future__ import annotations
 
@@ -11,18 +11,21 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from hitloom.llm.graph import components
-from hitloom.llm.words import ODD, ascii_words, hashed, mixed, shingled, shipped
+from hitloom.llm.words import ODD, hashed, mixed, shingled, shipped
 from hitloom.operators.skew import salted_join
 from hitloom.session import settle
 
-LENGTH = 16  # words of a paragraph
-EVERY = 34  # a paragraph begins in each run of so many words
+LENGTH = 16  # words of a run
+EVERY = 34  # a run begins in each so many words
 WIDTH = 5
 PIECE = 1 << 17  # words that are hashed together
 RECALL = 0.95
 ROWS = 2
 
-_PRINTS = "doc_id long, digest long, n long, starts array<long>, contents array<long>, bands array<long>, fresh array<long>"
+_PRINTS = (
+    "doc_id long, digest long, n long, starts array<long>, spans array<long>, contents array<long>, bands array<long>,"
+    " fresh array<long>"
+)
 
 
 def tuned_bands(similarity: float, rows: int = ROWS, recall: float = RECALL) -> int:
@@ -44,11 +47,11 @@ def _windowed(x: np.ndarray, width: int, best) -> np.ndarray:
 
 
 def starts_of(words: np.ndarray, sizes: np.ndarray, length: int, every: int) -> tuple[np.ndarray, np.ndarray]:
-    """Where paragraphs begin in texts of ``sizes`` words, laid end to end in ``words``.
+    """Where runs begin in texts of ``sizes`` words, laid end to end in ``words``.
 
-    Returns the text and the word position in it of each paragraph, in order. A position is one if
+    Returns the text and the word position in it of each run, in order. A position is one if
     the hash of the three words from it is the least in some run of ``every`` positions of its text,
-    or among all if there are fewer. So a passage of ``length + every - 1`` words has a paragraph of
+    or among all if there are fewer. So a passage of ``length + every - 1`` words has a run of
     its own wherever it stands, and the same one in every document. Each text has ``length`` words
     at least.
     """
@@ -71,20 +74,37 @@ def starts_of(words: np.ndarray, sizes: np.ndarray, length: int, every: int) ->
     return texts[best], at[best]
 
 
-def signatures(words: np.ndarray, starts: np.ndarray, length: int, hashes: int) -> tuple[np.ndarray, np.ndarray]:
-    """Content hash and MinHash values (one row per hash) of the paragraphs at ``starts``."""
-    length = min(length, len(words))
+def spread(starts: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Positions ``start .. start + count`` of all in a row, how far each is from its start, and where each begins."""
+    first = np.cumsum(counts) - counts
+    within = np.arange(counts.sum()) - np.repeat(first, counts)
+    return np.repeat(starts, counts) + within, within, first
+
+
+def unit_grams(words: np.ndarray, starts: np.ndarray, spans: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Five-word shingles of the units at ``starts``, laid end to end, and how many each has; one under that length is one shingle."""
+    counts = np.maximum(spans - WIDTH + 1, 1)
+    at, _, first = spread(starts, counts)
+    grams = shingled(words, WIDTH)[np.minimum(at, max(0, len(words) - WIDTH))]
+    for k in np.unique(spans[spans < WIDTH]):
+        grams[first[spans == k]] = shingled(words, k)[starts[spans == k]]
+    return grams, counts
+
+
+def signatures(words: np.ndarray, starts: np.ndarray, spans: np.ndarray, hashes: int) -> tuple[np.ndarray, np.ndarray]:
+    """Content hash and MinHash values (one row per hash) of the units of ``spans`` words at ``starts``."""
+    at, within, first = spread(starts, spans)
     with np.errstate(over="ignore"):
-        content = np.full(len(starts), length, np.uint64)
-        for i in range(length):
-            content = mixed(content * ODD[2] + words[starts + i])
-        grams = shingled(words, WIDTH)[np.arange(max(1, length - WIDTH + 1))[:, None] + starts]
-        least = np.stack([mixed(grams * ODD[k % 5], k).min(axis=0) for k in range(hashes)])
+        content = np.add.reduceat(mixed(words[at] * ODD[2] + within.astype(np.uint64) * ODD[3]), first)
+        content = mixed(content * ODD[0] + spans.astype(np.uint64))
+        grams, counts = unit_grams(words, starts, spans)
+        first = np.cumsum(counts) - counts
+        least = np.stack([np.minimum.reduceat(mixed(grams * ODD[k % 5], k), first) for k in range(hashes)])
     return content, least
 
 
-def _pieces(texts: list[str | None], length: int) -> Iterator[tuple[list[int], np.ndarray, np.ndarray]]:
-    """Hashed words of texts laid end to end, with their places in ``texts`` and their sizes.
+def _pieces(texts: list[str | None], length: int) -> Iterator[tuple[list[int], np.ndarray, np.ndarray, np.ndarray]]:
+    """Hashed words of texts laid end to end, with their places in ``texts``, their sizes, and the sizes of their lines with words.
 
     A text of fewer than ``length`` words comes alone, one without words not at all. A piece ends
     with the text that fills it.
@@ -92,19 +112,40 @@ def _pieces(texts: list[str | None], length: int) -> Iterator[tuple[list[int], n
     places: list[int] = []
     words: list[bytes] = []
     sizes: list[int] = []
+    lines: list[int] = []
     for place, text in enumerate(texts):
-        own = ascii_words(text)
+        own: list[bytes] = []
+        ends: list[int] = []
+        for line in (text or "").encode("utf-8", "surrogatepass").lower().split(b"\n"):
+            found = line.split()
+            if found:
+                own += found
+                ends.append(len(found))
         if 0 < len(own) < length:
-            yield [place], hashed(own), np.array([len(own)])
+            yield [place], hashed(own), np.array([len(own)]), np.array(ends)
         elif own:
             places.append(place)
             words += own
             sizes.append(len(own))
+            lines += ends
             if len(words) >= PIECE:
-                yield places, hashed(words), np.array(sizes)
-                places, words, sizes = [], [], []
+                yield places, hashed(words), np.array(sizes), np.array(lines)
+                places, words, sizes, lines = [], [], [], []
     if places:
-        yield places, hashed(words), np.array(sizes)
+        yield places, hashed(words), np.array(sizes), np.array(lines)
+
+
+def units_of(words: np.ndarray, sizes: np.ndarray, lines: np.ndarray, length: int, every: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Text, first word in it, and words of each unit: every line, and the runs of ``length`` words of :func:`starts_of`."""
+    ends = np.cumsum(sizes)
+    first = np.cumsum(lines) - lines
+    owner = np.searchsorted(ends, first, side="right")
+    if sizes[0] < length:
+        texts, starts = np.zeros(int(len(lines) > 1), np.int64), np.zeros(int(len(lines) > 1), np.int64)
+    else:
+        texts, starts = starts_of(words, sizes, length, every)
+    spans = np.minimum(length, sizes[texts])
+    return np.concatenate([texts, owner]), np.concatenate([starts, first - (ends - sizes)[owner]]), np.concatenate([spans, lines])
 
 
 def _printed(length: int, every: int, bands: int):
@@ -113,29 +154,26 @@ def _printed(length: int, every: int, bands: int):
             n = np.zeros(batch.num_rows, np.int64)
             none = np.array([], np.int64)
             found = []
-            for places, words, sizes in _pieces(batch.column("text").to_pylist(), length):
+            for places, words, sizes, lines in _pieces(batch.column("text").to_pylist(), length):
                 n[places] = sizes
-                if sizes[0] < length:
-                    texts = starts = np.array([0])
-                else:
-                    texts, starts = starts_of(words, sizes, length, every)
-                content, least = signatures(words, starts + (np.cumsum(sizes) - sizes)[texts], length, bands * ROWS)
+                texts, starts, spans = units_of(words, sizes, lines, length, every)
+                content, least = signatures(words, starts + (np.cumsum(sizes) - sizes)[texts], spans, bands * ROWS)
                 with np.errstate(over="ignore"):
                     key = np.stack([mixed(least[ROWS * b] * ODD[0] + least[ROWS * b + 1], b) for b in range(bands)], axis=1)
-                found.append((np.array(places)[texts], starts, content.view(np.int64), key.view(np.int64)))
+                found.append((np.array(places)[texts], starts, spans, content.view(np.int64), key.view(np.int64)))
             if found:
-                place, starts, content, key = (np.concatenate(x) for x in zip(*found))
+                place, starts, spans, content, key = (np.concatenate(x) for x in zip(*found))
                 order = np.argsort(place, kind="stable")
-                place, starts, content, key = place[order], starts[order], content[order], key[order]
+                place, starts, spans, content, key = (x[order] for x in (place, starts, spans, content, key))
             else:
-                place, starts, content, key = none, none, none, none.reshape(0, bands)
+                place, starts, spans, content, key = none, none, none, none, none.reshape(0, bands)
             new = np.sort(np.unique(content, return_index=True)[1])
             rows = np.arange(batch.num_rows + 1)
             each, fresh = np.searchsorted(place, rows), np.searchsorted(place[new], rows)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("digest"), pa.array(n),
-                 _ragged(each, starts), _ragged(each, content), _ragged(fresh * bands, key[new].reshape(-1)), _ragged(fresh, content[new])],
-                names=["doc_id", "digest", "n", "starts", "contents", "bands", "fresh"],
+                [batch.column("doc_id"), batch.column("digest"), pa.array(n), _ragged(each, starts), _ragged(each, spans),
+                 _ragged(each, content), _ragged(fresh * bands, key[new].reshape(-1)), _ragged(fresh, content[new])],
+                names=["doc_id", "digest", "n", "starts", "spans", "contents", "bands", "fresh"],
             )
 
     return run
@@ -146,28 +184,75 @@ def _ragged(ends: np.ndarray, values: np.ndarray) -> pa.ListArray:
 
 
 def _read(length: int):
-    """Five-word shingles of the wanted paragraphs of each text."""
+    """Five-word shingles of the wanted units of each text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            contents, starts = ([np.array(x, np.int64) for x in batch.column(c).to_pylist()] for c in ("contents", "starts"))
-            for places, words, sizes in _pieces(batch.column("text").to_pylist(), length):
+            contents, starts, spans = ([np.array(x, np.int64) for x in batch.column(c).to_pylist()] for c in ("contents", "starts", "spans"))
+            for places, words, sizes, _ in _pieces(batch.column("text").to_pylist(), length):
                 at = np.concatenate([starts[p] + before for p, before in zip(places, np.cumsum(sizes) - sizes)])
-                width = max(1, min(length, sizes[0]) - WIDTH + 1)
-                grams = np.sort(shingled(words, WIDTH)[at[:, None] + np.arange(width)].view(np.int64), axis=1)
+                grams, counts = unit_grams(words, at, np.concatenate([spans[p] for p in places]))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate([contents[p] for p in places])), _ragged(np.arange(len(at) + 1) * width, grams.reshape(-1))],
+                    [pa.array(np.concatenate([contents[p] for p in places])),
+                     _ragged(np.concatenate([[0], np.cumsum(counts)]), grams.view(np.int64))],
                     names=["content", "grams"],
                 )
 
     return run
 
 
+def common_runs(new: np.ndarray, old: np.ndarray, length: int) -> list[tuple[int, int]]:
+    """First word and end of the runs of ``new`` whose every ``length`` words, given by their hashes, are somewhere in ``old``."""
+    at = np.flatnonzero(np.isin(new, old))
+    if not len(at):
+        return []
+    cut = np.flatnonzero(np.diff(at) > length)
+    return list(zip(at[np.r_[0, cut + 1]].tolist(), (at[np.r_[cut, len(at) - 1]] + length).tolist()))
+
+
+def _extended(length: int):
+    """All runs of ``length`` words or more that a text has in common with the one that keeps a unit of it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sides = batch.column("text").to_pylist() + batch.column("old").to_pylist()
+            runs: list[list[tuple[int, int]]] = [[] for _ in range(batch.num_rows)]
+            order = [x for i in range(batch.num_rows) for x in (sides[i], sides[batch.num_rows + i])]
+            held: tuple = (-1, None)
+            for places, words, sizes, _ in _pieces(order, length):
+                if sizes[0] < length:
+                    continue
+                grams, before = shingled(words, length), np.cumsum(sizes) - sizes
+                for place, first, size in zip(places, before, sizes):
+                    own = grams[first : first + size - length + 1]
+                    if place % 2 and held[0] == place - 1:
+                        runs[place // 2] = common_runs(held[1], own, length)
+                    held = (place, own)
+            flat = [(i, x, y) for i, found in enumerate(runs) for x, y in found]
+            rows = pa.array([i for i, _, _ in flat], pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [*[batch.column(c).take(rows) for c in ("doc_id", "digest", "keep_id")],
+                 pa.array([x for _, x, _ in flat], pa.int64()), pa.array([y for _, _, y in flat], pa.int64())],
+                names=["doc_id", "digest", "keep_id", "start", "end"],
+            )
+
+    return run
+
+
 def _similar(a: Column, b: Column, num: int, den: int) -> Column:
     common = F.size(F.array_intersect(a, b))
     return den * common >= num * (F.size(a) + F.size(b) - common)
 
 
+def _runs(spots: DataFrame) -> DataFrame:
+    """Adds run: the number, in its text, of the run of touching spots (start, end) that a spot lies in."""
+    by_doc = Window.partitionBy("doc_id", "digest").orderBy("start")
+    before = by_doc.rowsBetween(Window.unboundedPreceding, -1)
+    return spots.withColumn(
+        "new", F.coalesce((F.col("start") > F.max("end").over(before)).cast("int"), F.lit(1))
+    ).withColumn("run", F.sum("new").over(by_doc.rowsBetween(Window.unboundedPreceding, 0)))
+
+
 def repeated_passages(
     docs: DataFrame,
     *,
@@ -184,16 +269,19 @@ def repeated_passages(
     Returns one row per passage to remove: doc_id, first_word, n_words (words between ASCII white
     space, from 0), keep_ids (sorted ids of the documents in which its paragraphs stay).
 
-    Paragraphs are runs of ``length`` words that begin where the text itself says so (see
-    :func:`starts_of`), as passages start and end within lines. Paragraphs of equal words, A-Z in
+    Paragraphs are the lines with words, of any length, and, as passages also start and end within
+    lines, runs of ``length`` words that begin where the text itself says so (see
+    :func:`starts_of`). Paragraphs of equal words, A-Z in
     lower case, are one content. Contents that share a MinHash band are compared by exact Jaccard
     similarity of their five-word shingles; ``tuned_bands`` sets the bands for the wanted recall.
     Each content of a band is checked against one hub; bands that still hold several components
     are joined with themselves across components, with that test as join condition. In each
-    component the smallest document keeps its paragraphs; those of the others are removed,
-    overlapping ones as one passage.
+    component the smallest document keeps its paragraphs; those of the others are removed. So is
+    every run of ``length`` words or more that such a document has in common with the smallest one,
+    up to its last equal word on either side. Overlapping removals are one passage.
 
-    A text of fewer words than ``length`` is one paragraph; null and empty ones have none. Rows
+    A repeated passage within lines is found for certain from ``length + every - 1`` words on; a
+    shorter one if a run begins in it or the two documents share something else. A text of fewer words than ``length`` is one paragraph besides its lines; null and empty ones have none. Rows
     with a null id are not compared. Rows that share an id are one document to this operator.
     Extra columns are ignored. An empty table gives an empty result.
     """
@@ -203,8 +291,8 @@ def repeated_passages(
         F.xxhash64(F.col(f"`{text_col}`")).alias("digest"),
     ).where("doc_id is not null and text is not null")
     prints = settle(own.mapInArrow(_printed(length, every, bands), _PRINTS))
-    units = prints.select("doc_id", "n", "digest", F.explode(F.arrays_zip("starts", "contents")).alias("u")).select(
-        "doc_id", "n", "digest", F.col("u.starts").alias("start"), F.col("u.contents").alias("content")
+    units = prints.select("doc_id", "n", "digest", F.explode(F.arrays_zip("starts", "spans", "contents")).alias("u")).select(
+        "doc_id", "n", "digest", F.col("u.starts").alias("start"), F.col("u.spans").alias("span"), F.col("u.contents").alias("content")
     )
     equal = settle(
         units.groupBy("content").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), F.count(F.lit(1)).alias("n"))
@@ -223,14 +311,14 @@ def repeated_passages(
     wanted = shared.select("content").distinct()
     # A content of very many places is folded in each task, then joined; a semi-join would be moved below the fold.
     place = units.withColumn("rank", F.xxhash64("doc_id", "digest", "start")).groupBy("content").agg(
-        *[F.min_by(c, "rank").alias(c) for c in ("doc_id", "digest", "start")]
+        *[F.min_by(c, "rank").alias(c) for c in ("doc_id", "digest", "start", "span")]
     ).join(wanted, "content")
     asked = place.groupBy("doc_id", "digest").agg(
-        F.collect_list(F.struct("content", "start")).alias("w")
-    ).select("doc_id", "digest", F.col("w.content").alias("contents"), F.col("w.start").alias("starts"))
+        F.collect_list(F.struct("content", "start", "span")).alias("w")
+    ).select("doc_id", "digest", F.col("w.content").alias("contents"), F.col("w.start").alias("starts"), F.col("w.span").alias("spans"))
     texts = settle(
         own.join(asked, ["doc_id", "digest"]).dropDuplicates(["doc_id", "digest"])
-        .select("text", "contents", "starts").mapInArrow(_read(length), "content long, grams array<long>")
+        .select("text", "contents", "starts", "spans").mapInArrow(_read(length), "content long, grams array<long>")
         .select("content", F.array_distinct("grams").alias("grams"))
     )
 
@@ -266,13 +354,21 @@ def repeated_passages(
     known = equal.unionByName(spots).groupBy("content").agg(F.min("first").alias("first"), F.max("n").alias("n"))
     named = known.join(linked, "content", "left").withColumn("component", F.coalesce("component", "content"))
     keeper = settle(named.select("content", "n", F.min("first").over(Window.partitionBy("component")).alias("keep_id")))
-    hits = salted_join(units, keeper.drop("n"), ["content"], sizes=keeper.select("content", "n")).where("doc_id > keep_id")
-    by_doc = Window.partitionBy("doc_id", "digest").orderBy("start")
-    end = F.col("start") + F.least(F.lit(length), F.col("n"))
-    before = by_doc.rowsBetween(Window.unboundedPreceding, -1)
-    runs = hits.select("doc_id", "digest", "start", end.alias("end"), "keep_id").withColumn(
-        "new", F.coalesce((F.col("start") > F.max("end").over(before)).cast("int"), F.lit(1))
-    ).withColumn("run", F.sum("new").over(by_doc.rowsBetween(Window.unboundedPreceding, 0)))
+    hits = settle(
+        salted_join(units, keeper.drop("n"), ["content"], sizes=keeper.select("content", "n")).where("doc_id > keep_id")
+        .select("doc_id", "digest", "n", "start", (F.col("start") + F.col("span")).alias("end"), "keep_id")
+    )
+
+    # Common runs of a text and those that keep something of it, unless all of it goes already.
+    gone = _runs(hits).groupBy("doc_id", "digest", "run").agg((F.max("end") - F.min("start")).alias("size"), F.max("n").alias("n"))
+    partly = gone.groupBy("doc_id", "digest").agg(F.sum("size").alias("size"), F.max("n").alias("n")).where("size < n").select("doc_id", "digest")
+    pairs = settle(hits.select("doc_id", "digest", "keep_id").distinct().join(partly, ["doc_id", "digest"]))
+    new = own.join(pairs, ["doc_id", "digest"]).dropDuplicates(["doc_id", "digest", "keep_id"])
+    sizes = pairs.groupBy("keep_id").agg(F.count(F.lit(1)).alias("n"))
+    old = own.select(F.col("doc_id").alias("keep_id"), F.col("text").alias("old")).join(sizes.drop("n"), "keep_id", "left_semi")
+    both = salted_join(new, old, ["keep_id"], sizes=sizes).select("doc_id", "digest", "keep_id", "text", "old")
+    more = both.mapInArrow(_extended(length), "doc_id long, digest long, keep_id long, start long, end long")
+    runs = _runs(hits.drop("n").unionByName(more))
     return runs.groupBy("doc_id", "digest", "run").agg(
         F.min("start").alias("first_word"), (F.max("end") - F.min("start")).alias("n_words"),
         F.sort_array(F.collect_set("keep_id")).alias("keep_ids"),

@@ -163,6 +163,33 @@ def test_passages(spark, texts):
     assert {r.doc_id for r in repeated_passages(messy).collect()} == {5}
 
 
+def test_passages_are_whole(spark):
+    r = random.Random(11)
+
+    def words(n):
+        return [f"w{r.randrange(10**9)}" for _ in range(n)]
+
+    short = [words(n) for n in (3, 16, 20, 30, 45)]
+    edited = words(100)
+    within = words(70)
+    early, late = ["A" * 3], ["B" * 3]
+    for p in short:
+        early += [" ".join(p), " ".join(words(60))]
+        late += [" ".join(p).upper(), " ".join(words(70))]
+    early += [" ".join(edited), " ".join(words(25) + within + words(31))]
+    edited = edited[:50] + ["other"] + edited[51:]
+    late += [" ".join(edited), " ".join(words(40) + within + words(12))]
+    rows = [(1, "\n".join(early)), (2, "\n\n".join(late)), (3, " ".join(words(80)))]
+    got = repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {x.doc_id for x in got} == {2} and all(x.keep_ids == [1] for x in got)
+    own = rows[1][1].lower().split()
+    gone = {k for x in got for k in range(x.first_word, x.first_word + x.n_words)}
+    places = [(own.index(p[0]), len(p)) for p in (*short, edited, within)]
+    assert all(k in gone for at, n in places for k in range(at, at + n))
+    # A run of which one word is other than in the first document is similar enough to go with the rest.
+    assert all(any(at - 1 <= k <= at + n for at, n in places) for k in gone)
+
+
 def test_paragraphs_begin_alike_in_any_company():
     rng = np.random.default_rng(3)
     own = [rng.integers(0, 1 << 60, n, dtype=np.uint64) for n in (16, 17, 48, 49, 50, 51, 83, 400, 16, 2000)]
