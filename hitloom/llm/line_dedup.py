@@ -1,4 +1,4 @@
-"""Line dedup: documents that share lines are aligned, and common blocks leave the later one."""
+"""Line dedup: runs of lines that an earlier document has too leave the later one."""
 
 from __future__ import annotations
 
@@ -31,13 +31,36 @@ def line_prints(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.array(at, np.int64), np.array(prints, np.uint64).view(np.int64), np.array(sizes, np.int64)
 
 
-def _printed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        rows = [line_prints(x or "") for x in batch.column(1).to_pylist()]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(2), *[lists([r[i] for r in rows], pa.int64(), np.int64) for i in range(3)]],
-            names=["doc_id", "digest", "at", "line", "size"],
-        )
+def least_runs(prints: np.ndarray, sizes: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First line, last line and hash of the runs of lines that reach ``least`` words and would not without an end line.
+
+    From each line the run goes on, and back, until it has the words. So of a block of lines with
+    ``least`` words or more, each line is in such a run that lies within the block.
+    """
+    upto = np.concatenate([[0], np.cumsum(sizes)])
+    n = np.arange(len(sizes))
+    on = np.searchsorted(upto, upto[:-1] + least)  # lines up to the end of the run that starts here
+    back = np.searchsorted(upto, upto[1:] - least, side="right") - 1  # first line of the run that ends here
+    runs = np.unique(np.concatenate([
+        np.stack([n, on - 1], axis=1)[on <= len(sizes)], np.stack([back, n], axis=1)[back >= 0],
+    ]).astype(np.int64), axis=0)
+    data = prints.tobytes()
+    keys = [xxhash.xxh3_64_intdigest(data[8 * i : 8 * j + 8]) for i, j in runs.tolist()]
+    return runs[:, 0], runs[:, 1], np.array(keys, np.uint64).view(np.int64)
+
+
+def _printed(least: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lines = [line_prints(x or "") for x in batch.column(1).to_pylist()]
+            runs = [least_runs(prints, sizes, least) for _, prints, sizes in lines]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(2), lists([x[0] for x in lines], pa.int64(), np.int64),
+                 *[lists([r[i] for r in runs], pa.int64(), np.int64) for i in range(3)]],
+                names=["doc_id", "digest", "at", "low", "high", "key"],
+            )
+
+    return run
 
 
 def patience(a: list, b: list) -> list[tuple[int, int]]:
@@ -83,37 +106,6 @@ def patience(a: list, b: list) -> list[tuple[int, int]]:
     return sorted(found)
 
 
-def common_blocks(a: list, b: list, sizes: list[int], least: int) -> list[int]:
-    """Positions in ``b`` that lie in aligned runs of at least ``least`` words."""
-    out: list[int] = []
-    run: list[int] = []
-    last = None
-    for i, j in [*patience(a, b), (-9, -9)]:
-        if last != (i - 1, j - 1):
-            if sum(sizes[x] for x in run) >= least:
-                out += run
-            run = []
-        run.append(j)
-        last = (i, j)
-    return out
-
-
-def _aligned(least: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            part = batch.to_pydict()
-            gone = [
-                np.array([at[x] for x in common_blocks(old, new, sizes, least)], np.int64)
-                for old, new, at, sizes in zip(part["old"], part["line"], part["at"], part["size"])
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("digest"), batch.column("home"), lists(gone, pa.int64(), np.int64)],
-                names=["doc_id", "digest", "home", "gone"],
-            )
-
-    return run
-
-
 def removals(
     docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", least_words: int = LEAST_BLOCK_WORDS
 ) -> DataFrame:
@@ -121,29 +113,23 @@ def removals(
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     own = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("digest"))
     prints = settle(own.where("doc_id is not null").mapInArrow(
-        _printed, "doc_id long, digest long, at array<long>, line array<long>, size array<long>"
+        _printed(least_words), "doc_id long, digest long, at array<long>, low array<long>, high array<long>, key array<long>"
     ))
-    lines = prints.select("doc_id", F.explode(F.array_distinct("line")).alias("line"))
+    runs = prints.select("doc_id", "digest", F.explode(F.arrays_zip("key", "low", "high")).alias("r")).select(
+        "doc_id", "digest", F.col("r.key").alias("key"), F.col("r.low").alias("low"), F.col("r.high").alias("high")
+    )
     shared = settle(
-        lines.groupBy("line").agg(F.min("doc_id").alias("home"), F.max("doc_id").alias("last"), F.count(F.lit(1)).alias("n"))
+        runs.groupBy("key").agg(F.min("doc_id").alias("home"), F.max("doc_id").alias("last"), F.count(F.lit(1)).alias("n"))
         .where("home < last").drop("last")
     )
-    pairs = (
-        salted_join(lines, shared.select("line", "home"), ["line"], sizes=shared.select("line", "n"))
-        .where("doc_id > home").select("doc_id", "home").distinct()
-    )
-    pairs = settle(pairs)
-    new = pairs.join(prints, "doc_id")
-    old = prints.groupBy(F.col("doc_id").alias("home")).agg(F.flatten(F.collect_list("line")).alias("old"))
-    wanted = pairs.groupBy("home").agg(F.count(F.lit(1)).alias("n"))
-    both = salted_join(new, old, ["home"], sizes=wanted)
-    found = both.select("doc_id", "digest", "home", "at", "line", "size", "old").mapInArrow(
-        _aligned(least_words), "doc_id long, digest long, home long, gone array<long>"
-    )
-    return found.where(F.size("gone") > 0).groupBy("doc_id", "digest").agg(
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("gone")))).alias("gone"),
-        F.sort_array(F.collect_set("home")).alias("homes"),
+    hits = salted_join(runs, shared.select("key", "home"), ["key"], sizes=shared.select("key", "n")).where("doc_id > home")
+    marks = hits.groupBy("doc_id", "digest").agg(
+        F.collect_set(F.struct("low", "high")).alias("runs"), F.sort_array(F.collect_set("home")).alias("homes")
     )
+    lines = F.array_distinct(F.flatten(F.transform("runs", lambda r: F.sequence(r["low"], r["high"]))))
+    return marks.join(prints.select("doc_id", "digest", "at"), ["doc_id", "digest"]).select(
+        "doc_id", "digest", F.array_sort(F.transform(lines, lambda x: F.col("at")[x.cast("int")])).alias("gone"), "homes"
+    ).dropDuplicates(["doc_id", "digest"])
 
 
 def line_dedup(
@@ -155,12 +141,12 @@ def line_dedup(
     documents); the text column holds what is left. A column of one of these names in ``docs`` is
     left out of the result.
 
-    Documents with a line in common are found by its hash. Each line is charged to its home, the
-    smallest id that has it, and a later document is compared with the homes of its lines only: a
-    line in m documents gives m - 1 pairs, so frequent lines need no limit, and every line's first
-    document is among the compared ones. A pair is aligned by patience diff on the hashes of its
-    lines with words (white space folded); runs of aligned lines with ``least_words`` words or more
-    leave the later document. A line's first occurrence always stays.
+    Lines are equal if their words are (white space folded), and lines without words are passed
+    over. A run of lines in a row with ``least_words`` words or more goes if an earlier document has
+    the same lines in a row, at whatever place and however often. For that, the least runs that reach
+    so many words (see :func:`least_runs`) are keys: each is charged to its home, the smallest id that
+    has it, and leaves all later documents. They make up every longer run, so documents are not
+    compared in pairs. A line's first occurrence always stays.
 
     Null and empty texts have no lines to delete and stay as they are. Rows with a null id stay as
     they are. Rows that share an id are not compared with each other; repeated rows get the same

@@ -147,6 +147,28 @@ def test_lines(spark, texts):
     assert line_dedup(empty).count() == 0 and line_dedup(messy).count() == len(MESSY)
 
 
+def test_lines_like_brute_force(spark):
+    r = random.Random(8)
+    size = [1, 3, 5, 8, 10, 12, 21, 30]
+    line = [" ".join(f"l{i}w{k}" for k in range(n)) for i, n in enumerate(size)]
+    rows = [(1, [4]), (2, [5]), *[(i, [4, 5]) for i in range(3, 6)], (6, [0, 7, 1]), (7, [1, 7, 2, 7, 3])]
+    rows += [(i, [r.randrange(len(size)) for _ in range(r.randrange(1, 9))]) for i in range(8, 90)]
+
+    def blocks(own):
+        return {(a, b) for a in range(len(own)) for b in range(a, len(own)) if sum(size[x] for x in own[a : b + 1]) >= 20}
+
+    want, seen = {}, set()
+    for i, own in rows:
+        want[i] = sorted({2 * k for a, b in blocks(own) if tuple(own[a : b + 1]) in seen for k in range(a, b + 1)})
+        seen |= {tuple(own[a : b + 1]) for a, b in blocks(own)}
+    df = spark.createDataFrame([(i, " \n\n".join(line[x] for x in own)) for i, own in rows], "doc_id long, text string")
+    got = {x.doc_id: (x.deleted, x.homes) for x in line_dedup(df.repartition(5)).collect()}
+    assert {i: x[0] for i, x in got.items()} == want
+    assert got[4] == ([0, 2], [3]) and got[7][0] == [2, 6]
+    held = dict(rows)
+    assert all({held[i][k // 2] for k in gone} <= {x for h in homes for x in held[h]} and all(h < i for h in homes) for i, (gone, homes) in got.items())
+
+
 def test_passages(spark, texts):
     first, need = {}, set()
     for i, text in sorted(texts):
