@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import json
 from functools import reduce
-from operator import or_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -98,8 +98,6 @@ FRAMES = (
     (3, 0.6, "licen", r"(?:{name}) licen[sc]e(?:d)?"),
     (3, 0.6, "licen", r"licen[sc]e (?:type )?(?:is )?(?:the )?(?:{name})"),
 )
-#: A text without any of these has no word that a rule or a base phrase needs.
-GATE = ("licen", "spdx", "under the ", "terms of", " under ", "cc by", "cc-by")
 
 
 def rules() -> list[dict]:
@@ -119,6 +117,12 @@ def _table(given: list[dict]) -> Column:
     return F.from_json(F.lit(json.dumps(given)), F.lit(kind))
 
 
+def _gate(text: Column, given: list[dict]) -> Column:
+    """Whether a text in lower case has a rule's word or all words of a base phrase. No gap splits a word, so nothing is missed."""
+    needs = [(x,) for x in sorted({r["word"].lower() for r in given})] + [tuple(p.split()) for p in PHRASES]
+    return reduce(or_, (reduce(and_, (F.contains(text, F.lit(x)) for x in words)) for words in needs))
+
+
 def _spaces(x: Column) -> Column:
     return F.length(x) - F.length(F.replace(x, F.lit(" "), F.lit("")))
 
@@ -166,21 +170,21 @@ def license_scan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     priority, weight, label: what the rules found and nothing displaced).
 
     A-Z count as lower case; words are runs of other characters than ASCII signs and blanks. A text
-    that lacks every gate string goes no further, and a rule runs only on texts that have both its
+    that lacks every rule's word and some word of each base phrase goes no further, and a rule runs only on texts that have both its
     words. Of overlapping detections, one inside a longer one gives way, as does the later rule of
     two with one interval, and of two that overlap in part the one of lesser priority.
 
     Null and empty texts have no words. A null id is kept. Each of repeated rows gets its result.
     Extra columns are ignored. An empty table gives an empty result. Nothing is shuffled.
     """
-    table = _table(rules() if given is None else given)
+    given = rules() if given is None else given
+    table = _table(given)
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     low = F.lower("text")
-    gate = reduce(or_, (F.contains("low", F.lit(x)) for x in GATE)) | F.col("text").rlike(r"(?i)\bcc[\x00-/:-@\[-`{-\x7f]+by\b")
     rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), text.alias("text"))
     rows = rows.select("doc_id", "text", F.regexp_count("text", F.lit(WORD)).cast("long").alias("n_words"), low.alias("low"))
     plain = F.trim(F.regexp_replace(F.translate("text", UPPER, LOWER), GAP, " "))
-    rows = rows.select("doc_id", "n_words", F.when(gate, F.concat(F.lit(" "), plain, F.lit(" "))).alias("line"))
+    rows = rows.select("doc_id", "n_words", F.when(_gate(F.col("low"), given), F.concat(F.lit(" "), plain, F.lit(" "))).alias("line"))
     line = F.col("line")
 
     phrases = [{"rank": i, "priority": 0, "weight": 1.0, "label": label, "key": phrase.split()[0], "word": phrase.split()[-1],

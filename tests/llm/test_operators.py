@@ -240,6 +240,24 @@ def test_licenses(spark, texts):
     assert lic.license_scan(empty).count() == 0 and lic.license_scan(messy).count() == len(MESSY)
 
 
+def test_licenses_across_any_gap(spark):
+    base = ["CC_BY_NC", "_cc.by.nc", "CC\nby--NC 4", "x_under\tthe__MIT\nLicense", "Apache_license,version:2", "occ by nc", "cc by"]
+    others = {
+        "Released under\nGPL-2.0": ["gpl-2"], "distributed under\nthe BSD": ["bsd"], "see the terms\nof the GPL": ["gpl"],
+        "available_under_ISC": ["isc"], "thunder the gpl": [],
+    }
+    rows = spark.createDataFrame(list(enumerate([*base, *others])), "doc_id long, text string")
+    got = {r.doc_id: r for r in lic.license_scan(rows).collect()}
+    for i, text in enumerate(base):
+        n, places, low, high, labels = brute.licenses(text)
+        assert (got[i].n_words, len(got[i].base), ",".join(x.label for x in got[i].base)) == (n, places, labels)
+    for i, (text, labels) in enumerate(others.items(), len(base)):
+        assert [x.label for x in got[i].found] == labels, text
+    own = [{"rank": 0, "priority": 0, "weight": 1.0, "label": "x", "key": "foo", "word": "Foo".lower(), "pattern": "(?<= )foo bar(?= )"}]
+    df = spark.createDataFrame([(1, "Foo\nbar")], "doc_id long, text string")
+    assert [x.label for x in lic.license_scan(df, given=own).first().found] == ["x"]
+
+
 def test_mix(spark, docs):
     rows = q.op6_source_mixing(spark, FOLDER).toPandas()
     again = q.op6_source_mixing(spark, FOLDER).toPandas()
