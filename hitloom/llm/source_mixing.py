@@ -20,6 +20,7 @@ MOST_USES = 3
 WORD = r"[^\x20\x09-\x0D]+"
 
 REACH = 1 << 16  # words of the budget that the table of reachable sums spans
+CLASSES = 1 << 18  # of sums of a whole budget, each of which holds one
 SEED = 17
 
 
@@ -29,7 +30,10 @@ def fill(sizes: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
 
     Each size first gives its share of the budget, rounded down. What is left is taken one by one
     from the sizes that lost most by rounding, until it is within ``REACH``; the last part is a
-    bounded knapsack over what each size still has.
+    bounded knapsack over what each size still has. If only documents are left that are too long to
+    come within ``REACH``, there is no such part. Documents are then added, given back or
+    exchanged, up to two at a time, as long as that comes nearer. If a nearer sum may exist,
+    sums of all documents are tried in classes (see :func:`_by_classes`), and the nearer result counts.
     """
     total = int((sizes * counts).sum())
     if budget >= total:
@@ -51,7 +55,9 @@ def fill(sizes: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
                 room = min(room, 1) if one else room
                 take[i] += room
                 left -= room * int(sizes[i])
-    goal = min(left, REACH)
+    if left > REACH:
+        return _nearest(sizes, counts, take, budget)
+    goal = left
     spare = sizes[(take < counts) & (sizes > 0)]
     top = goal + (int(spare.min()) if len(spare) else 0)  # just above may be nearer
     first = np.full(top + 1, -1, dtype=np.int64)  # item by which a sum was reached first
@@ -82,6 +88,74 @@ def fill(sizes: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
         i, copies, weight = items[first[at]]
         take[i] += copies
         at -= weight
+    return _nearest(sizes, counts, take, budget)
+
+
+def _nearest(sizes: np.ndarray, counts: np.ndarray, take: np.ndarray, budget: int) -> np.ndarray:
+    take = _nearer(sizes, counts, take, budget - int((sizes * take).sum()))
+    step = int(np.gcd.reduce(sizes))  # all sums are multiples of it
+    if abs(budget - int((sizes * take).sum())) <= min(budget % step, -budget % step):
+        return take
+    other = _by_classes(sizes, counts, budget)
+    other = _nearer(sizes, counts, other, budget - int((sizes * other).sum()))
+    return min(take, other, key=lambda x: abs(budget - int((sizes * x).sum())))
+
+
+def _by_classes(sizes: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
+    """Documents whose sizes come near ``budget``: a bounded knapsack over all, in which the first of the sums of a class stands for it."""
+    take = np.zeros(len(sizes), np.int64)
+    top = budget + int(sizes.max())
+    width = top // CLASSES + 1
+    held = np.full(top // width + 1, -1, dtype=np.int64)  # sum of each class
+    first, come = held.copy(), held.copy()  # item and class from which it was reached first
+    held[0] = 0
+    items: list[tuple[int, int]] = []
+    for i in np.argsort(-sizes, kind="stable"):
+        size, spare, part = int(sizes[i]), int(counts[i]), 1
+        while size and 0 < spare and size <= top:
+            copies = min(part, spare)
+            source = np.flatnonzero(held >= 0)
+            sums = held[source] + copies * size
+            source, sums = source[sums <= top], sums[sums <= top]
+            into, one = np.unique(sums // width, return_index=True)
+            new = held[into] < 0
+            into, one = into[new], one[new]
+            held[into], first[into], come[into] = sums[one], len(items), source[one]
+            items.append((int(i), copies))
+            spare, part = spare - copies, part * 2
+    found = np.flatnonzero(held >= 0)
+    at = int(found[np.argmin(np.abs(held[found] - budget))])
+    while at > 0:
+        i, copies = items[first[at]]
+        take[i] += copies
+        at = int(come[at])
+    return take
+
+
+def _nearer(sizes: np.ndarray, counts: np.ndarray, take: np.ndarray, left: int) -> np.ndarray:
+    """``take`` with one or two documents more, less or exchanged at a time, while ``left`` words (below 0: too many) come nearer to none."""
+    take = take.copy()
+    while left:
+        more, less = np.flatnonzero((take < counts) & (sizes > 0)), np.flatnonzero((take > 0) & (sizes > 0))
+        item = np.concatenate([[0], more, less])
+        step = np.concatenate([[0], np.ones(len(more), np.int64), -np.ones(len(less), np.int64)])
+        order = np.argsort(sizes[item] * step, kind="stable")
+        item, step = item[order], step[order]
+        words, room = sizes[item] * step, np.where(step > 0, counts[item] - take[item], take[item])
+        near = np.searchsorted(words, left - words)
+        found = []
+        for shift in (-2, -1, 0, 1):
+            other = np.clip(near + shift, 0, len(words) - 1)
+            rest = np.abs(left - words - words[other])
+            rest[(other == np.arange(len(words))) & (step != 0) & (room < 2)] = np.iinfo(np.int64).max
+            a = int(np.argmin(rest))
+            found.append((int(rest[a]), a, int(other[a])))
+        rest, a, b = min(found)
+        if rest >= abs(left):
+            break
+        for k in (a, b):
+            take[item[k]] += step[k]
+            left -= int(words[k])
     return take
 
 

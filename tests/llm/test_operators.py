@@ -290,6 +290,24 @@ def test_fill_and_targets(spark):
         assert all(brute.close(got[s], t) for s, t in brute.targets(given).items())
 
 
+def test_fill_with_long_documents():
+    assert fill(np.array([200_000]), np.array([1]), 180_000).tolist() == [1]
+    assert fill(np.array([37_300]), np.array([2]), 70_000).tolist() == [2]
+    assert fill(np.array([100_000, 170_000]), np.array([2, 1]), 175_000).tolist() == [0, 1]
+    r = random.Random(6)
+    for _ in range(200):
+        sizes = np.array(sorted(r.sample(range(20_000, 400_000), r.randrange(1, 6))))
+        counts = np.array([r.randrange(1, 4) for _ in sizes])
+        budget = r.randrange(1, int((sizes * counts).sum()))
+        take = fill(sizes, counts, budget)
+        assert (0 <= take).all() and (take <= counts).all()
+        sums = {0}
+        for size, n in zip(sizes.tolist(), counts.tolist()):
+            sums = {x + k * size for x in sums for k in range(n + 1)}
+        best, got = min(abs(budget - x) for x in sums), abs(budget - int((sizes * take).sum()))
+        assert best <= got <= best + 200
+
+
 def test_chats(spark):
     nodes = [
         ("t", 1, None, "user", "</s>[INST] ok [/INST]\\ [\\<", 0.0), ("t", 2, 1, "assistant", "a[", 1.0), ("t", 3, 1, "assistant", "b<", 5.0),
