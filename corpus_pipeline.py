@@ -1,7 +1,8 @@
 """Corpus pipeline over ``documents``: quality rules, line dedup, near duplicates, mixing, packing.
 
 Each stage takes (spark, docs, sf_dir) and works on all that the one before it kept. All but the
-last return the columns of ``documents``.
+last return the columns of ``documents``. Rows with a null id count like others, told apart by what
+they hold; as line dedup and near duplicates compare ids, those two keep them as they are.
 """
 
 from __future__ import annotations
@@ -20,10 +21,16 @@ from hitloom.llm.source_mixing import mix
 from hitloom.session import shared_folder
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    """Adds __key: the id or, where it is null, a hash of what the stages look at."""
+    return docs.withColumn("__key", F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text", "lang", "source")))
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
-    kept = quality_rules(docs).where("kept").select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(kept, F.col("doc_id") == F.col("__id"), "left_semi")
+    rows = _keyed(docs)
+    kept = quality_rules(rows, id_col="__key").where("kept").select(F.col("doc_id").alias("__id")).distinct()
+    return rows.join(kept, F.col("__key") == F.col("__id"), "left_semi").drop("__key")
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,16 +42,17 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the smallest id."""
+    """Of each group of near duplicates the document with the smallest id; rows without an id are in no group."""
     groups = jaccard_join(docs)
     kept = groups.where("doc_id = component_id").select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(kept, F.col("doc_id") == F.col("__id"), "left_semi")
+    return docs.join(kept, F.col("doc_id") == F.col("__id"), "left_semi").unionByName(docs.where("doc_id is null"))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix uses it."""
-    uses = mix(docs).where("uses > 0").groupBy(F.col("doc_id").alias("__id")).agg(F.max("uses").alias("__uses"))
-    rows = docs.join(uses, F.col("doc_id") == F.col("__id"))
+    rows = _keyed(docs)
+    uses = mix(rows, id_col="__key").where("uses > 0").groupBy(F.col("doc_id").alias("__id")).agg(F.max("uses").alias("__uses"))
+    rows = rows.join(uses, F.col("__key") == F.col("__id"))
     return rows.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__uses").cast("int")))).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 

@@ -105,7 +105,7 @@ def _prints(width: int, num: int, den: int, seed: int):
         firsts = edges_of_bands(1024, num, den)
         for batch in batches:
             rows: list[tuple] = []
-            for text in batch.column(1).to_pylist():
+            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 own = shingles(text, width)
                 n = len(own)
                 if n == 0:
@@ -114,7 +114,7 @@ def _prints(width: int, num: int, den: int, seed: int):
                 with np.errstate(over="ignore"):
                     h1 = int(_signed(mixed(own, 1000 + seed).sum(keepdims=True))[0])
                     h2 = int(_signed(mixed(own, 2000 + seed).sum(keepdims=True) * np.uint64(n))[0])
-                if h1 in seen:  # this task has already put out keys for an equal set
+                if doc is None or h1 in seen:  # linked with nothing, or this task has already put out keys for an equal set
                     rows.append((n, h1, h2, None, None, None, None))
                     continue
                 seen.add(h1)

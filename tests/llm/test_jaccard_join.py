@@ -55,3 +55,14 @@ def test_odd_tables(spark):
     rows = [("a b c d e f", 1, "x", 0, None), ("a b c d e f", 1, "x", 0, None), ("a b c d e f", None, "y", 0, None), (long, 7, "", 0, ""), (long, 8, "", 0, "")]
     got = sorted(map(tuple, jaccard_join(spark.createDataFrame(rows, kind)).collect()), key=str)
     assert got == [(1, 2, 1, 1), (1, 2, 1, 1), (7, 977, 7, 7), (8, 977, 7, 7), (None, 2, None, None)]
+
+
+def test_copy_without_an_id_hides_no_link(spark):
+    words = [f"w{i}" for i in range(200)]
+    text, near = " ".join(words), " ".join([*words[:-1], "other"])
+    rows = [(None, text), (1, text), (2, near), (3, near)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    got = sorted(tuple(r) for r in jaccard_join(df).where("doc_id is not null").select("doc_id", "component_id", "class_id").collect())
+    assert got == [(1, 1, 1), (2, 1, 2), (3, 1, 2)]
+    alone = jaccard_join(df).where("doc_id is null").collect()
+    assert [(r.n_shingles, r.component_id, r.class_id) for r in alone] == [(196, None, None)]

@@ -366,6 +366,20 @@ def test_quality(spark, texts):
     assert quality_rules(empty).count() == 0 and quality_rules(messy).count() == len(MESSY)
 
 
+def test_stages_keep_rows_without_an_id(spark):
+    def text(k):
+        return " ".join(f"{k}w{i}" for i in range(30))
+
+    rows = [(i, text(i), "en", "s", 1, "x", "y", "z", 0) for i in (1, 2)]
+    rows += [(None, text(i), "en", "s", 1, "x", "y", "z", 0) for i in (1, 3)] + [(None, "too short", "en", "s", 1, "x", "y", "z", 0)]
+    df = spark.createDataFrame(rows, KIND)
+    clean = sorted(r[1] for r in rows[:4])
+    for stage in (corpus_pipeline.quality, corpus_pipeline.lines, corpus_pipeline.near_duplicates, corpus_pipeline.mixing):
+        df = stage(spark, df, FOLDER)
+        assert sorted(r.text for r in df.collect()) == clean, stage
+        assert df.where("doc_id is null").count() == 2 and "__key" not in df.columns
+
+
 def test_pipeline(spark):
     assert len(corpus_pipeline.STAGES) == 5
     rows = corpus_pipeline.run(spark, FOLDER).toPandas()
