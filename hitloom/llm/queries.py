@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from hitloom.llm import chat_format as chat
+from hitloom.llm import language_id as language
 from hitloom.llm import license_scan as licenses
 from hitloom.llm import secret_scan as secrets
 from hitloom.llm.exact_dedup import exact_dedup
@@ -118,9 +119,16 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules(documents(spark, folder)).select("doc_id", *COUNTS, "base_failed", "kept", "distance")
 
 
+def op13_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return language.identify(documents(spark, folder)).select(
+        "doc_id", language.held_out(F.col("doc_id")).alias("held_out"), F.coalesce("nearest", F.lit("und")).alias("lang_pred"),
+        "score", "distance", "rejected",
+    )
+
+
 QUERIES = {f.__name__: f for f in (
     op1_packing, op2_line_dedup, op3_exact_dedup, op4_passage_dedup, op5_license_scan, op6_source_mixing,
-    op7_jaccard_join, op8_chat_format, op9_secret_scan, op10_quality_rules,
+    op7_jaccard_join, op8_chat_format, op9_secret_scan, op10_quality_rules, op13_language_id,
 )}
 ORACLES: dict[str, str] = {
     "op3_exact_dedup": """
