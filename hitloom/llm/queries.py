@@ -11,6 +11,7 @@ from hitloom.llm import language_id as language
 from hitloom.llm import license_scan as licenses
 from hitloom.llm import secret_scan as secrets
 from hitloom.llm.exact_dedup import exact_dedup
+from hitloom.llm.hard_negatives import mine
 from hitloom.llm.jaccard_join import jaccard_join
 from hitloom.llm.line_dedup import line_dedup
 from hitloom.llm.packing import pack
@@ -119,6 +120,12 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules(documents(spark, folder)).select("doc_id", *COUNTS, "base_failed", "kept", "distance")
 
 
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    rows = spark.read.parquet(f"{folder}/embeddings.parquet")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine(rows.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
 def op13_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language.identify(documents(spark, folder)).select(
         "doc_id", language.held_out(F.col("doc_id")).alias("held_out"), F.coalesce("nearest", F.lit("und")).alias("lang_pred"),
@@ -128,7 +135,8 @@ def op13_language_id(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_packing, op2_line_dedup, op3_exact_dedup, op4_passage_dedup, op5_license_scan, op6_source_mixing,
-    op7_jaccard_join, op8_chat_format, op9_secret_scan, op10_quality_rules, op13_language_id,
+    op7_jaccard_join, op8_chat_format, op9_secret_scan, op10_quality_rules, op12_hard_negatives,
+    op13_language_id,
 )}
 ORACLES: dict[str, str] = {
     "op3_exact_dedup": """
@@ -136,4 +144,24 @@ ORACLES: dict[str, str] = {
     SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
       doc_id = max(doc_id) OVER w AS kept, sha256(t) AS text_sha256
     FROM d WINDOW w AS (PARTITION BY t)""",
+    "op12_hard_negatives": """
+    WITH v AS (
+      SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        [floor(256 * x::DOUBLE) for x in embedding] AS v
+      FROM embeddings
+      WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+        AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+    pairs AS (
+      SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+        list_dot_product(a.v, b.v)::BIGINT AS score
+      FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+    good AS (
+      SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM pairs WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5),
+    hard AS (
+      SELECT g.*, p.other_id AS negative_id, p.score AS negative_score,
+        row_number() OVER (PARTITION BY g.anchor_id, g.positive_id ORDER BY p.score DESC, p.other_id)::INTEGER AS rank
+      FROM good g JOIN pairs p ON p.anchor_id = g.anchor_id AND NOT p.same
+        AND 80 * positive_score <= 100 * p.score AND 100 * p.score <= 100 * positive_score)
+    SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM hard WHERE rank <= 5""",
 }
