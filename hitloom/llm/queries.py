@@ -17,6 +17,7 @@ from hitloom.llm.line_dedup import line_dedup
 from hitloom.llm.packing import pack
 from hitloom.llm.passage_dedup import repeated_passages
 from hitloom.llm.quality_rules import COUNTS, quality_rules
+from hitloom.llm.ranked_search import ranked_search
 from hitloom.llm.source_mixing import mix
 
 TOKENIZER = "word_bpe_49k.json"
@@ -120,6 +121,11 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules(documents(spark, folder)).select("doc_id", *COUNTS, "base_failed", "kept", "distance")
 
 
+def op11_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    items = spark.read.parquet(f"{folder}/benchmark.parquet")
+    return ranked_search(documents(spark, folder), items).select("item_id", "rank", "doc_id", "score")
+
+
 def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
     rows = spark.read.parquet(f"{folder}/embeddings.parquet")
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
@@ -135,8 +141,8 @@ def op13_language_id(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_packing, op2_line_dedup, op3_exact_dedup, op4_passage_dedup, op5_license_scan, op6_source_mixing,
-    op7_jaccard_join, op8_chat_format, op9_secret_scan, op10_quality_rules, op12_hard_negatives,
-    op13_language_id,
+    op7_jaccard_join, op8_chat_format, op9_secret_scan, op10_quality_rules, op11_ranked_search,
+    op12_hard_negatives, op13_language_id,
 )}
 ORACLES: dict[str, str] = {
     "op3_exact_dedup": """
@@ -144,6 +150,27 @@ ORACLES: dict[str, str] = {
     SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
       doc_id = max(doc_id) OVER w AS kept, sha256(t) AS text_sha256
     FROM d WINDOW w AS (PARTITION BY t)""",
+    "op11_ranked_search": r"""
+    WITH low AS (
+      SELECT 'd' AS side, row_number() OVER () AS own, doc_id AS id, text FROM documents
+      UNION ALL SELECT 'q', row_number() OVER (), item_id, text FROM benchmark),
+    runs AS (
+      SELECT side, own, id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+      FROM low),
+    tfs AS (SELECT own, id, term, count(*) AS tf FROM runs WHERE side = 'd' GROUP BY ALL),
+    sizes AS (SELECT own, sum(tf)::BIGINT AS n FROM tfs GROUP BY own),
+    corpus AS (SELECT count(*) AS docs, sum(n)::BIGINT AS total FROM sizes),
+    weights AS (
+      SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM tfs, corpus GROUP BY term, docs),
+    asked AS (SELECT DISTINCT own AS item, id AS item_id, term FROM runs WHERE side = 'q'),
+    scores AS (
+      SELECT item, item_id, t.own, t.id AS doc_id,
+        sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + ((50 * n * docs) // total)))))::BIGINT AS score
+      FROM asked JOIN tfs t USING (term) JOIN weights USING (term) JOIN sizes USING (own), corpus
+      GROUP BY ALL)
+    SELECT item_id, (row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id))::INTEGER AS rank, doc_id, score
+    FROM scores WHERE score > 0 QUALIFY rank <= 50""",
     "op12_hard_negatives": """
     WITH v AS (
       SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
