@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hitloom.contracts import AUDIO_COLUMNS, CHART_FEATURE_LITERAL, MATCH_THRESHOLD
@@ -32,21 +32,24 @@ HIT_COLUMNS = (
 RAW = ["track_name", "artist_name"]
 
 
-def entry_summaries(entries: DataFrame) -> DataFrame:
+def entry_summaries(
+    entries: DataFrame, count: Column | None = None, weeks: str = "weeks_on_chart", peak: str = "peak_rank"
+) -> DataFrame:
     """Chart entries folded to one row per normalised key.
 
     The fold keeps what song aggregates need: the number of entries, extremes, and the leading
-    entry (lowest rank, then earliest by ``date_ord``, ``row_ord``).
+    entry (lowest rank, then earliest by ``date_ord``, ``row_ord``). ``count`` says how often a row
+    counts (default: once), ``weeks`` and ``peak`` name the columns of the extremes.
     """
     keyed = with_match_key(entries)
     rank = or_default(F.col("rank"), NO_RANK)
     lead = F.struct(rank.alias("r"), "date_ord", "row_ord", *ENTRY_FIELDS)
     return keyed.groupBy(*KEY).agg(
-        F.count(F.lit(1)).alias("n"),
+        F.count(F.lit(1)).alias("n") if count is None else F.sum(count).alias("n"),
         F.min(rank).alias("rank_best"),
         F.max(rank).alias("rank_worst"),
-        F.min(or_default(F.col("peak_rank"), NO_RANK)).alias("peak_best"),
-        F.max(or_default(F.col("weeks_on_chart"), NO_WEEKS)).alias("weeks_max"),
+        F.min(or_default(F.col(peak), NO_RANK)).alias("peak_best"),
+        F.max(or_default(F.col(weeks), NO_WEEKS)).alias("weeks_max"),
         F.min(lead).alias("lead"),
     )
 

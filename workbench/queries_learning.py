@@ -376,24 +376,35 @@ def logreg_shap(spark, sf):
     return ex.linear_summary(run)
 
 
-@query(
-    "stream_ingest",
+STREAM_SQL = (
     v.ctes(*SONG_CHART)
     + f"""SELECT st AS song_track, sa AS song_artist, {r('max(score)', 'best')}, sum(1 + (rank <= 5)::INT)::BIGINT AS n, min(rank)::DOUBLE AS rank_best, max(weeks_on_chart)::DOUBLE AS weeks_max
-  FROM (SELECT *, {v.SCORE} AS score FROM (SELECT DISTINCT st, sa FROM song_keys), chart_keys) WHERE score >= 0.75::DOUBLE GROUP BY ALL""",
+  FROM (SELECT *, {v.SCORE} AS score FROM (SELECT DISTINCT st, sa FROM song_keys), chart_keys) WHERE score >= 0.75::DOUBLE GROUP BY ALL"""
 )
-def stream_ingest(spark, sf):
-    """Two charts landed as files out of date order, some twice, ingested in several batches."""
+
+
+def _streamed(spark, sf, files_per_batch):
+    """Two charts landed as 52 files out of date order, some entries twice."""
     base = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
     landed = settle(v.chart(spark, sf).withColumnsRenamed(
         {"track_name": "title", "artist_name": "artist", "weeks_on_chart": "weeks", "peak_rank": "peakPos", "last_week_rank": "lastPos"}
     ).select("chart_date", "rank", "title", "artist", "weeks", "peakPos", "lastPos"))
     upper = landed.where("rank <= 5").withColumn("chart_name", F.lit("upper-half"))
     both = landed.withColumn("chart_name", F.lit(None).cast("string")).unionByName(upper)
-    both.repartition(6, "chart_date").write.json(f"{base}/landed")
-    both.where(F.month("chart_date") == 3).repartition(2, "chart_date").write.mode("append").json(f"{base}/landed")
+    both.repartition(40, "chart_date").write.json(f"{base}/landed")
+    both.where(F.month("chart_date") == 3).repartition(12, "chart_date").write.mode("append").json(f"{base}/landed")
     keys = m.with_match_key(v.songs(spark, sf)).select(*m.KEY).distinct()
-    done = st.ingest(st.snapshot_stream(spark, f"{base}/landed", files_per_batch=3), keys, f"{base}/out", f"{base}/state")
-    done.awaitTermination()
-    found = st.current_aggregates(spark, f"{base}/out")
+    st.ingest(st.snapshot_stream(spark, f"{base}/landed", files_per_batch=files_per_batch), f"{base}/out", f"{base}/state").awaitTermination()
+    found = st.current_aggregates(spark, f"{base}/out", keys)
     return found.select("song_track", "song_artist", real("best"), "n", "rank_best", "weeks_max")
+
+
+@query("stream_ingest", STREAM_SQL)
+def stream_ingest(spark, sf):
+    return _streamed(spark, sf, 5)
+
+
+@query("stream_ingest_by_file", STREAM_SQL)
+def stream_ingest_by_file(spark, sf):
+    """A batch per file, some fifty."""
+    return _streamed(spark, sf, 1)
