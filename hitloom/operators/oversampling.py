@@ -1,28 +1,17 @@
-"""Minority oversampling between exact nearest neighbours.
-
-Neighbours are found without pairing all minority rows. Equal vectors are folded into one point
-with a count. Points go to the nearest of a bounded set of pivots; a cell is searched only by
-points whose current k-th distance reaches into it (triangle inequality), and a large cell is
-split into blocks, so no task holds more than a block of points and a slice of queries.
-"""
+"""Minority oversampling between exact nearest neighbours."""
 
 from __future__ import annotations
 
-import math
-
-import numpy as np
-import pandas as pd
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hitloom.operators.ranking import hash_cuts, hash_order, prefix_counts, top_per_group
+from hitloom.operators.neighbours import nearest_neighbours
+from hitloom.operators.ranking import hash_cuts, hash_order, prefix_counts
 from hitloom.session import settle
 
 # Default neighbour count.
 DEFAULT_K = 5
-MAX_PIVOTS = 1024
-BLOCK = 4096
 
 
 def oversampling_plan(counts: dict, wanted: bool = True, k: int | None = None) -> tuple[bool, int]:
@@ -47,130 +36,6 @@ def plan_table(class_counts: DataFrame) -> DataFrame:
     )
 
 
-def nearest_neighbours(points: DataFrame, k: int, pivots: int | None = None, block: int = BLOCK) -> DataFrame:
-    """Exact k nearest other rows: (key, near) with ``near`` an array of vectors, closest first.
-
-    ``points`` is (key, vec); keys are unique. Equal distances are ordered by vector hash.
-    """
-    folded = settle(
-        points.groupBy("vec").agg(F.count(F.lit(1)).alias("n")).withColumn("pid", F.md5(F.col("vec").cast("string")))
-    )
-    total = folded.count()
-    wanted = pivots or max(1, min(MAX_PIVOTS, math.isqrt(total)))
-    chosen = folded.orderBy("pid").limit(wanted).select("vec").collect()  # at most MAX_PIVOTS rows
-    centres = np.array([row.vec for row in chosen], dtype="float64")
-    cells = settle(_assign(folded, centres, block))
-    radii = {r.cell: r.radius for r in cells.groupBy("cell").agg(F.max("reach").alias("radius")).collect()}
-    radius = np.array([radii.get(i, -np.inf) for i in range(len(centres))])
-    sizes = cells.groupBy("cell").agg(F.count(F.lit(1)).alias("size"))
-    blocked = cells.join(F.broadcast(sizes), "cell").withColumn(
-        "block", F.pmod(F.hash("pid"), F.ceil(F.col("size") / block)).cast("int")
-    )
-    members = settle(blocked.select("cell", "block", "pid", "vec", "n"))
-    blocks = members.select("cell", "block").distinct()
-    own = cells.select("pid", "vec", "n", F.lit(np.inf).alias("bound"), F.array("cell").alias("cells"))
-    near = settle(_search(own, members, blocks, k, block))
-    merged = settle(_merge(near, folded, k))
-    reach = _reaching(merged, centres, radius)
-    far = _search(reach, members, blocks, k, block)
-    best = _merge(near.unionByName(far), folded, k)
-    per_point = best.select("vec", F.slice("found", 1, k).alias("near"))
-    return points.join(per_point, "vec").select("key", "vec", "near")
-
-
-def _assign(folded: DataFrame, centres: np.ndarray, block: int) -> DataFrame:
-    def nearest(batches):
-        for pdf in batches:
-            x = np.stack(pdf["vec"].to_numpy()) if len(pdf) else np.empty((0, centres.shape[1]))
-            d = np.sqrt(np.maximum(_squares(x, centres), 0.0))
-            cell = d.argmin(axis=1) if len(pdf) else np.empty(0, dtype=int)
-            yield pdf.assign(cell=cell.astype("int32"), reach=d[np.arange(len(pdf)), cell])
-
-    return folded.mapInPandas(nearest, "vec array<double>, n bigint, pid string, cell int, reach double")
-
-
-def _squares(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Squared distances, row against row, without cancellation."""
-    out = np.zeros((len(x), len(y)))
-    for j in range(x.shape[1] if x.ndim == 2 else 0):
-        out += (x[:, j, None] - y[None, :, j]) ** 2
-    return out
-
-
-def _reaching(merged: DataFrame, centres: np.ndarray, radius: np.ndarray) -> DataFrame:
-    """Queries with the further cells that may hold a closer point."""
-
-    def reach(batches):
-        for pdf in batches:
-            if not len(pdf):
-                continue
-            d = np.sqrt(np.maximum(_squares(np.stack(pdf["vec"].to_numpy()), centres), 0.0))
-            bound = pdf["bound"].to_numpy()
-            slack = 1e-9 * (1.0 + np.abs(d))
-            hit = d - radius[None, :] <= bound[:, None] + slack
-            hit[np.arange(len(pdf)), d.argmin(axis=1)] = False
-            yield pdf.assign(cells=[np.flatnonzero(row).astype("int32") for row in hit])
-
-    schema = "pid string, vec array<double>, n bigint, bound double, cells array<int>"
-    return merged.select("pid", "vec", "n", "bound").mapInPandas(reach, schema)
-
-
-def _search(queries: DataFrame, members: DataFrame, blocks: DataFrame, k: int, size: int) -> DataFrame:
-    """Per (query, block) the k closest member points within the query's bound."""
-    asked = queries.withColumn("cell", F.explode("cells")).join(blocks, "cell")
-    asks = asked.groupBy("cell").agg(F.count(F.lit(1)).alias("asks"))
-    slices = F.ceil(F.col("asks") / size).cast("int")
-    sliced = asked.join(asks, "cell").withColumn("part", F.pmod(F.hash("pid", "cell"), slices).cast("int"))
-    offered = members.join(asks, "cell").withColumn("part", F.explode(F.sequence(F.lit(0), slices - 1)))
-
-    def closest(asked_pdf: pd.DataFrame, member_pdf: pd.DataFrame) -> pd.DataFrame:
-        columns = ["pid", "near_pid", "dist", "near_n"]
-        if asked_pdf.empty or member_pdf.empty:
-            return pd.DataFrame({c: [] for c in columns}).astype({"pid": str, "near_pid": str, "dist": float, "near_n": int})
-        member_pdf = member_pdf.sort_values("near_pid")  # equal distances go by point id
-        y = np.stack(member_pdf["near_vec"].to_numpy())
-        names, counts = member_pdf["near_pid"].to_numpy(), member_pdf["near_n"].to_numpy()
-        take = min(k + 1, len(y))
-        rows = []
-        for start in range(0, len(asked_pdf), 512):
-            part = asked_pdf.iloc[start : start + 512]
-            d = np.sqrt(_squares(np.stack(part["vec"].to_numpy()), y))
-            j = np.argsort(d, axis=1, kind="stable")[:, :take]
-            dist = np.take_along_axis(d, j, axis=1)
-            asked_pid = np.repeat(part["pid"].to_numpy(), take)
-            near = pd.DataFrame({"pid": asked_pid, "near_pid": names[j.ravel()], "dist": dist.ravel(), "near_n": counts[j.ravel()]})
-            rows.append(near[near["dist"] <= np.repeat(part["bound"].to_numpy() * (1 + 1e-9), take)])
-        return pd.concat(rows)
-
-    left = sliced.select("cell", "block", "part", "pid", "vec", "bound")
-    right = offered.select(
-        *[F.col(c).alias(f"near_{c}") for c in ("cell", "block", "part", "pid", "vec", "n")]
-    )
-    grouped = left.groupBy("cell", "block", "part").cogroup(
-        right.groupBy("near_cell", "near_block", "near_part")
-    )
-    return grouped.applyInPandas(closest, "pid string, near_pid string, dist double, near_n bigint")
-
-
-def _merge(found: DataFrame, folded: DataFrame, k: int) -> DataFrame:
-    """The k nearest rows per point: copies of the point itself first, then other points."""
-    vectors = folded.select(F.col("pid").alias("near_pid"), F.col("vec").alias("near_vec"))
-    # Every point but the asking one adds at least one row, so k + 1 points are enough.
-    closest = top_per_group(found, ["pid"], F.col("dist").asc(), ["near_pid"], k + 1).drop("rank")
-    named = closest.join(vectors, "near_pid")
-    # Copies beyond the k-th change nothing, and one of a point's own copies is the row itself.
-    same = F.col("pid") == F.col("near_pid")
-    copies = F.least(F.when(same, F.col("near_n") - 1).otherwise(F.col("near_n")), F.lit(k)).cast("int")
-    entry = F.struct("dist", "near_pid", copies.alias("copies"), "near_vec")
-    ranked = named.groupBy("pid").agg(F.sort_array(F.collect_list(entry)).alias("entries"))
-    spread = F.flatten(F.transform("entries", lambda e: F.array_repeat(F.struct(e["dist"], e["near_vec"]), e["copies"])))
-    listed = ranked.select("pid", spread.alias("rows")).join(folded, "pid")
-    bound = F.when(F.size("rows") >= k, F.element_at("rows", k)["dist"]).otherwise(F.lit(np.inf))
-    return listed.select(
-        "pid", "vec", "n", bound.alias("bound"), F.transform("rows", lambda e: e["near_vec"]).alias("found")
-    )
-
-
 def synthetic_rows(
     train: DataFrame, label: str, key: str, k: int, seed: int, features: str = "features"
 ) -> DataFrame:

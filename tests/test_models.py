@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from hitloom.contracts import ExplainSettings, FeatureContract, ForestSettings, LinearSettings, NetSettings
 from hitloom.operators import attribution as at, forest as fo, network as nw, oversampling as ov, preparation as pp
+from hitloom.operators.neighbours import cells_of, cells_within, closest, nearest_neighbours, pivots_of, squares
 from hitloom.plans import explaining as ex, training as tr, tuning as tu
 from hitloom.sources import sinks
 
@@ -86,13 +87,45 @@ def test_neighbours_are_exact_with_copies(spark, pivots, block):
     x = rng.integers(0, 6, (150, 2)).astype(float)
     x[:50] = x[0]  # a third of the rows are copies
     df = spark.createDataFrame([(str(i), r.tolist()) for i, r in enumerate(x)], "key string, vec array<double>")
-    got = {r.key: np.array(r.near) for r in ov.nearest_neighbours(df, 5, pivots, block).collect()}
+    got = {r.key: np.array(r.near) for r in nearest_neighbours(df, 5, pivots, block).collect()}
     d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1))
     np.fill_diagonal(d, np.inf)
     for i in range(len(x)):
         np.testing.assert_allclose(np.sqrt(((got[str(i)] - x[i]) ** 2).sum(1)), np.sort(d[i])[:5])
 
 
+def test_neighbours_over_many_cells(spark):
+    """More than 1024 cells, clusters of very different density: exact, and most cells are not searched."""
+    rng = np.random.default_rng(8)
+    x = np.concatenate([rng.normal(size=(1500, 3)), 0.01 * rng.normal(size=(1500, 3)) + 2])
+    df = spark.createDataFrame([(str(i), r.tolist()) for i, r in enumerate(x)], "key string, vec array<double>")
+    got = {r.key: np.array(r.near) for r in nearest_neighbours(df, 4, 1300).collect()}
+    d = np.sqrt(squares(x, x))
+    np.fill_diagonal(d, np.inf)
+    for i in range(len(x)):
+        np.testing.assert_allclose(np.sqrt(((got[str(i)] - x[i]) ** 2).sum(1)), np.sort(d[i])[:4])
+
+
+@pytest.mark.parametrize("spread", [1.0, 0.0])
+def test_cells_left_out_hold_nothing(spread):
+    rng = np.random.default_rng(9)
+    x = np.round(spread * rng.normal(size=(800, 2)), 1)
+    index = pivots_of(x[:60])
+    outer, far, cell, reach = cells_of(x, index)
+    np.maximum.at(index.outer_radius, outer, far)
+    np.maximum.at(index.inner_radius, cell, reach)
+    bound = np.full(len(x), 0.3)
+    rows, cells = cells_within(x, bound, index)
+    found = set(zip(rows.tolist(), cells.tolist()))
+    i, j = np.nonzero(np.sqrt(squares(x, x)) <= 0.3)
+    assert set(zip(i.tolist(), cell[j].tolist())) <= found and len(found) <= 800 * 60
+    d = squares(x[:50], x)
+    qi, xj, dist = closest(x[:50], np.full(50, np.inf), x, 5)
+    for row in range(50):
+        want = sorted((v, c) for c, v in enumerate(np.sqrt(d[row])))[:5]
+        assert [(v, c) for v, c in zip(dist[qi == row], xj[qi == row])] == want
+
+
 def test_synthetic_rows_lie_between_neighbours(spark):
     rng = np.random.default_rng(6)
     x = rng.normal(size=(90, 3))

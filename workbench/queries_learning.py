@@ -20,6 +20,7 @@ from hitloom.functions.numeric import harmonic_f1, sigmoid
 from hitloom.operators import attribution as at, matching as m, oversampling as ov, preparation as pp
 from hitloom.operators.eda import class_counts
 from hitloom.operators.metrics import binary_metrics, confusion_counts
+from hitloom.operators.neighbours import nearest_neighbours
 from hitloom.plans import explaining as ex, training as tr, tuning as tu
 from hitloom.session import settle, shared_folder
 from hitloom.streaming import snapshots as st
@@ -128,18 +129,23 @@ def smote_rows(spark, sf):
 
 @query(
     "knn_distance",
+    # Rows lie on lines of equal y, a whole unit apart. Where the fifth on a row's own line is nearer, no
+    # other line matters; the few remaining rows are compared with all.
     v.ctes(
         v.TRAIN,
-        "p AS (SELECT row_key, tempo / 1000.0::DOUBLE AS x, danceability * 100 AS y FROM train WHERE energy >= 48)",
+        "p AS (SELECT row_key, tempo / 1000.0::DOUBLE AS x, danceability * 100 AS y FROM train)",
+        "lines AS (SELECT row_key, x, y, list(x) OVER (PARTITION BY y ORDER BY x, row_key ROWS BETWEEN 5 PRECEDING AND 5 FOLLOWING EXCLUDE CURRENT ROW) AS near FROM p)",
+        "own AS (SELECT row_key, x, y, list_sort([abs(x - z) for z in near])[5] AS kth FROM lines)",
     )
-    + f"""SELECT a.row_key, {r('list_sort(min(sqrt(pow(a.x - z.x, 2) + pow(a.y - z.y, 2)), 5))[5]', 'kth')}
-  FROM p a JOIN p z ON a.row_key <> z.row_key GROUP BY a.row_key""",
+    + f"""SELECT row_key, {r('kth', 'kth')} FROM own WHERE kth < 0.9
+  UNION ALL SELECT a.row_key, {r('list_sort(min(sqrt(pow(a.x - z.x, 2) + pow(a.y - z.y, 2)), 5))[5]', 'kth')}
+  FROM own a JOIN p z ON a.row_key <> z.row_key WHERE a.kth IS NULL OR a.kth >= 0.9 GROUP BY a.row_key""",
 )
 def knn_distance(spark, sf):
-    """Distance of every minority row to its fifth-nearest other row."""
-    rows = v.train(spark, sf).where("energy >= 48")
+    """Distance of every row to its fifth-nearest other row."""
+    rows = v.train(spark, sf)
     vec = F.array(F.col("tempo") / 1000.0, F.col("danceability") * 100)
-    near = ov.nearest_neighbours(rows.select(F.col("row_key").alias("key"), vec.alias("vec")), 5)
+    near = nearest_neighbours(rows.select(F.col("row_key").alias("key"), vec.alias("vec")), 5)
     away = F.zip_with("vec", F.element_at("near", 5), lambda p, q: (p - q) * (p - q))
     kth = F.sqrt(F.aggregate(away, F.lit(0.0), lambda s, d: s + d))
     return near.select(F.col("key").alias("row_key"), real(kth, "kth"))
