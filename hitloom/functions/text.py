@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 # The tail cut at a guest credit, and what counts as punctuation.
 GUEST_TAIL = r"(?U)\b(ft|feat|featuring)\b.*$"
 PUNCTUATION = r"[^a-z0-9\s]"
-GRAM = 3
 
 
 def match_text(text: Column) -> Column:
@@ -37,20 +36,20 @@ def holds(outer: Column, inner: Column) -> Column:
     return (inner != "") & F.contains(outer, inner)
 
 
-def rare_grams(text: Column) -> Column:
-    """Distinct 3-grams of a text; a shorter text is its own gram."""
-    n = F.length(text)
-    return F.when(n < GRAM, F.array(text)).otherwise(_grams(text, GRAM))
+def _power(k: Column) -> Column:
+    return F.pow(F.lit(2), k).cast("int")
 
 
-def all_grams(text: Column) -> Column:
-    """Distinct 1-, 2- and 3-grams of a text."""
-    n = F.length(text)
-    nothing = F.array().cast("array<string>")
-    sizes = [F.when(n >= k, _grams(text, k)).otherwise(nothing) for k in range(1, GRAM + 1)]
-    return F.flatten(F.array(*sizes))
+def ladder_prefix(text: Column) -> Column:
+    """The longest prefix of a text whose length is a power of two."""
+    return F.substring(text, F.lit(1), _power(F.floor(F.log2(F.length(text)))))
 
 
-def _grams(text: Column, size: int) -> Column:
-    starts = F.sequence(F.lit(1), F.length(text) - (size - 1))
-    return F.array_distinct(F.transform(starts, lambda i: F.substring(text, i, size)))
+def ladder_parts(text: Column) -> Column:
+    """Distinct substrings of a text whose lengths are powers of two: under (log2 n + 1) n of them."""
+    steps = F.sequence(F.lit(0), F.floor(F.log2(F.length(text))).cast("int"))
+
+    def of_length(n: Column) -> Column:
+        return F.transform(F.sequence(F.lit(1), F.length(text) - n + 1), lambda i: F.substring(text, i, n))
+
+    return F.array_distinct(F.flatten(F.transform(steps, lambda k: of_length(_power(k)))))

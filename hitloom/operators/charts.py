@@ -151,7 +151,7 @@ def chart_casts(entries: DataFrame) -> DataFrame:
 def best_matches(songs: DataFrame, entries: DataFrame) -> DataFrame:
     """Chart entries with the score and ordinal of their best song (N:1)."""
     per_key = with_match_key(songs).groupBy(*KEY).agg(F.min("song_ord").alias("song_ord"))
-    keyed = with_match_key(entries)
+    keyed = settle(with_match_key(entries))  # read for its keys, their counts and its rows
     best = best_song(settle(per_key), settle(keyed.select(*KEY).distinct()))
     named = best.withColumnsRenamed(
         {"chart_track": "track_norm", "chart_artist": "artist_norm", "score": "kaggle_match_score"}

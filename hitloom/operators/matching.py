@@ -2,9 +2,13 @@
 
 A pair scores 0.7 per track plus 0.3 per artist, where equal text counts 1, text inside the
 other text counts 0.6 (track) or 0.4 (artist). Only nine scores exist, so a threshold selects a
-few kinds of pair, and each kind is an equi-join: on the text itself, or on a 3-gram that the
+few kinds of pair, and each kind is an equi-join: on the text itself, or on a part that the
 contained text and the containing text must share. Both sides are reduced to distinct keys
 first; no kind produces a candidate that the next filter rejects wholesale.
+
+A text inside another one is looked up by its longest prefix on a ladder of lengths (powers of
+two) among the other's substrings of those lengths, which is at least half of it, so that few
+candidates fail the final test. A plan depends on the threshold only, never on sizes.
 """
 
 from __future__ import annotations
@@ -12,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hitloom.functions.text import all_grams, holds, match_text, rare_grams
+from hitloom.functions.text import holds, ladder_parts, ladder_prefix, match_text
 from hitloom.operators.skew import salted_join
 from hitloom.session import settle
 
@@ -21,9 +25,6 @@ TRACK_WEIGHT, ARTIST_WEIGHT = 0.7, 0.3
 TRACK_INSIDE, ARTIST_INSIDE = 0.6, 0.4
 
 KEY = ["track_norm", "artist_norm"]
-SALT_ROWS = 1 << 20
-# A plain join on the shared part is used while it makes few candidates in all and per group.
-CANDIDATES_PER_KEY, CANDIDATES_PER_GROUP = 64, 1 << 22
 
 
 def with_match_key(df: DataFrame, track: str = "track_name", artist: str = "artist_name") -> DataFrame:
@@ -59,42 +60,32 @@ def containments(left: DataFrame, right: DataFrame, text: str, same: list[str])
     )
 
 
-def _inside(inner: DataFrame, outer: DataFrame, text: str, same: list[str]) -> DataFrame:
-    """Pairs (inner, outer) with ``inner`` strictly inside ``outer``.
+def _inside(inner: DataFrame, outer: DataFrame, text: str, same: list[str], carried: tuple[str, ...] = ()) -> DataFrame:
+    """Pairs (inner, outer) with ``inner`` strictly inside ``outer``, with columns of either side that are ``carried``.
 
-    Every gram of the inner text occurs in the outer text. The pair is looked up through the
-    inner gram that is rarest among outer texts; an inner text with a gram that no outer text
-    has is done at once. Match text has 37 symbols, so the table of gram counts never exceeds
-    37 + 37^2 + 37^3 rows and is broadcast. A gram in many texts is spread over salts, one per
-    ``SALT_ROWS`` texts.
+    A substring that many outer texts share makes a skewed partition, which adaptive execution splits.
     """
-    hay = outer.where(F.col(text) != "").select(
-        *same, F.col(text).alias("outer"), F.explode(all_grams(F.col(text))).alias("gram")
-    )
-    sizes = F.broadcast(hay.groupBy("gram").agg(F.count(F.lit(1)).alias("n")))
-    grams = inner.where(F.col(text) != "").select(*same, F.col(text).alias("inner")).withColumn(
-        "gram", F.explode(rare_grams(F.col("inner")))
-    )
-    salts = F.ceil(F.col("n") / SALT_ROWS).cast("int")
-    last_salt = F.ceil(F.col("best.n") / SALT_ROWS).cast("int") - 1
-    needles = (
-        grams.join(sizes, "gram")
-        .groupBy(*same, "inner")
-        .agg(F.min(F.struct("n", "gram")).alias("best"), F.count(F.lit(1)).alias("found"))
-        .where(F.col("found") == F.size(rare_grams(F.col("inner"))))
-        .select(
-            *same,
-            "inner",
-            F.col("best.gram").alias("gram"),
-            F.explode(F.sequence(F.lit(0), last_salt)).alias("salt"),
-        )
+    own = F.col(text)
+    needles = inner.where(own != "").select(
+        *same, own.alias("inner"), ladder_prefix(own).alias("part"), *[c for c in carried if c in inner.columns]
     )
-    spread = hay.join(sizes, "gram").withColumn("salt", F.pmod(F.hash("outer"), salts))
-    return (
-        spread.join(needles, [*same, "gram", "salt"])
-        .where(F.contains("outer", "inner") & (F.col("outer") != F.col("inner")))
-        .select(*same, "inner", "outer")
+    hay = outer.where(own != "").select(
+        *same, own.alias("outer"), F.explode(ladder_parts(own)).alias("part"), *[c for c in carried if c in outer.columns]
     )
+    found = hay.join(needles, [*same, "part"])
+    return found.where(F.contains("outer", "inner") & (F.col("outer") != F.col("inner"))).select(*same, "inner", "outer", *carried)
+
+
+def first_related(songs: DataFrame, texts: DataFrame, text: str) -> DataFrame:
+    """For each of ``texts`` the least ``song_ord`` of the songs whose text holds it or lies in it.
+
+    Both are distinct on ``text``. What a join finds is folded at once in the task that finds it, so a
+    word that a million titles hold sends one row per task.
+    """
+    first = F.min("song_ord").alias("song_ord")
+    held = _inside(texts, songs, text, [], ("song_ord",)).groupBy(F.col("inner").alias(text)).agg(first)
+    holding = _inside(songs, texts, text, [], ("song_ord",)).groupBy(F.col("outer").alias(text)).agg(first)
+    return held.unionByName(holding).groupBy(text).agg(first)
 
 
 def _named(keys: DataFrame, side: str) -> DataFrame:
@@ -155,33 +146,10 @@ def _join_on(s: DataFrame, c: DataFrame, part: str) -> DataFrame:
     return salted_join(left, right, ["_on"]).select(*PAIR)
 
 
-def _few_candidates(s: DataFrame, c: DataFrame, part: str) -> bool:
-    """Whether pairing keys that agree in one part stays linear in the number of keys."""
-    n = F.count(F.lit(1))
-    left = s.groupBy(F.col(f"song_{part}").alias("k")).agg(n.alias("a"))
-    right = c.groupBy(F.col(f"chart_{part}").alias("k")).agg(n.alias("b"))
-    a, b = F.coalesce("a", F.lit(0)), F.coalesce("b", F.lit(0))
-    row = (
-        left.join(right, "k", "full")
-        .agg(F.sum(a * b).alias("pairs"), F.max(a * b).alias("most"), F.sum(a + b).alias("keys"))
-        .first()
-    )
-    return row["keys"] is None or (
-        row.pairs <= CANDIDATES_PER_KEY * row["keys"] and row.most <= CANDIDATES_PER_GROUP
-    )
-
-
 def _same_one_inside_other(s: DataFrame, c: DataFrame, same: str, inside: str) -> DataFrame:
-    """Keys equal in one part (non-empty) whose other parts contain one another.
-
-    Where a title or artist has so many keys that pairing them would outgrow the input, the
-    pairs are looked up by gram within the group.
-    """
+    """Keys equal in one part (non-empty) whose other parts contain one another."""
     s = s.where(F.col(f"song_{same}") != "")
     a, b = F.col(f"song_{inside}"), F.col(f"chart_{inside}")
-    if _few_candidates(s, c, same):
-        on = F.col(f"song_{same}") == F.col(f"chart_{same}")
-        return s.join(c, on & (a != b) & (holds(a, b) | holds(b, a))).select(*PAIR)
     left = s.select(F.col(f"song_{same}").alias("_same"), a.alias("_text"))
     right = c.select(F.col(f"chart_{same}").alias("_same"), b.alias("_text"))
     return containments(left, right, "_text", ["_same"]).select(
@@ -238,8 +206,8 @@ def best_song(songs: DataFrame, entries: DataFrame) -> DataFrame:
     ``songs`` has one row per key with its first ``song_ord``; ``entries`` is distinct keys. The
     result is (chart_track, chart_artist, score, song_ord); a key that no song relates to gets
     the first song of all at score 0, or score -1 and no song if there are no songs. Songs that
-    share only a track or only an artist are represented by their first one, so no kind lists
-    all songs of a group.
+    share only a track or only an artist, or hold or lie in one, are represented by their first one,
+    so no kind lists all songs of a group.
     """
     first = F.min("song_ord").alias("song_ord")
     s = songs.where(F.col("track_norm") != "").select(
@@ -249,12 +217,11 @@ def best_song(songs: DataFrame, entries: DataFrame) -> DataFrame:
     )
     c = _named(entries, "chart")
     by_key = s.select("song_track", "song_artist")
-    near_tracks, near_artists = related_texts(s, c, "track"), related_texts(s, c, "artist")
     exact = [
         _same_key(by_key, c),
         _same_one_inside_other(by_key, c, "track", "artist"),
         _same_one_inside_other(by_key, c, "artist", "track"),
-        _both_inside(by_key, c, near_tracks),
+        _both_inside(by_key, c, related_texts(s, c, "track")),
     ]
     found = exact[0]
     for other in exact[1:]:
@@ -269,10 +236,10 @@ def best_song(songs: DataFrame, entries: DataFrame) -> DataFrame:
     same_artist = salted_join(
         c, per_artist.withColumnRenamed("song_artist", "chart_artist"), ["chart_artist"]
     )
-    tracks = near_tracks.join(per_track, "song_track")
-    artists = near_artists.join(per_artist, "song_artist")
-    near_track = salted_join(c, tracks.groupBy("chart_track").agg(first), ["chart_track"])
-    near_artist = salted_join(c, artists.groupBy("chart_artist").agg(first), ["chart_artist"])
+    near_track, near_artist = (
+        salted_join(c, first_related(own.withColumnRenamed(f"song_{part}", f"chart_{part}"), c.select(f"chart_{part}").distinct(), f"chart_{part}"), [f"chart_{part}"])
+        for own, part in ((per_track, "track"), (per_artist, "artist"))
+    )
     kinds = (
         (same_track, TRACK_WEIGHT),
         (near_track, TRACK_WEIGHT * TRACK_INSIDE),

@@ -88,6 +88,8 @@ def cells_within(x: np.ndarray, bound: np.ndarray, p: Pivots) -> tuple[np.ndarra
     rows, cells = [np.empty(0, dtype=np.int64)], [np.empty(0, dtype=np.int64)]
     for i in range(len(p.outer)):
         some, part = np.flatnonzero(alive[:, i]), slice(p.starts[i], p.starts[i + 1])
+        if part.start == part.stop:
+            continue  # its own pivot is equal to an earlier one
         r, c = np.nonzero(within(some, p.inner[part], p.inner_radius[part]))
         rows.append(some[r])
         cells.append(c + p.starts[i])

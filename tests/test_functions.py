@@ -85,3 +85,14 @@ def test_student_tail():
     assert student_two_sided(1.959963984540054, 1e9) == pytest.approx(0.05, abs=1e-7)
     assert student_two_sided(0.0, 7) == pytest.approx(1.0)
     assert incomplete_beta(2, 3, 0.5) == pytest.approx(0.6875)
+
+
+def test_ladder_finds_every_inner_text(spark):
+    """A text's longest prefix of a power-of-two length is among the parts of every text that holds it."""
+    from hitloom.functions.text import ladder_parts, ladder_prefix
+
+    text = "the long and winding road to nowhere"
+    inner = [text[i:j] for i in range(len(text)) for j in range(i + 1, len(text) + 1)]
+    df = spark.createDataFrame([(text, t) for t in inner], "a string, b string")
+    found = df.select(F.length(ladder_prefix(F.col("b"))).alias("n"), F.array_contains(ladder_parts(F.col("a")), ladder_prefix(F.col("b"))).alias("hit"), "b").collect()
+    assert all(r.hit and r.n <= len(r.b) < 2 * r.n for r in found)

@@ -384,8 +384,9 @@ def logreg_shap(spark, sf):
 
 STREAM_SQL = (
     v.ctes(*SONG_CHART)
-    + f"""SELECT st AS song_track, sa AS song_artist, {r('max(score)', 'best')}, sum(1 + (rank <= 5)::INT)::BIGINT AS n, min(rank)::DOUBLE AS rank_best, max(weeks_on_chart)::DOUBLE AS weeks_max
-  FROM (SELECT *, {v.SCORE} AS score FROM (SELECT DISTINCT st, sa FROM song_keys), chart_keys) WHERE score >= 0.75::DOUBLE GROUP BY ALL"""
+    + f"""SELECT st AS song_track, sa AS song_artist, {r('max(score)', 'best')}, sum(1 + (rank <= 50)::INT)::BIGINT AS n, min(rank)::DOUBLE AS rank_best, max(weeks_on_chart)::DOUBLE AS weeks_max
+  FROM (SELECT *, {v.SCORE} AS score FROM (SELECT DISTINCT st, sa FROM song_keys), (SELECT DISTINCT ct, ca FROM chart_keys)) JOIN chart_keys USING (ct, ca)
+  WHERE score >= 0.75::DOUBLE GROUP BY ALL"""
 )
 
 
@@ -395,7 +396,7 @@ def _streamed(spark, sf, files_per_batch):
     landed = settle(v.chart(spark, sf).withColumnsRenamed(
         {"track_name": "title", "artist_name": "artist", "weeks_on_chart": "weeks", "peak_rank": "peakPos", "last_week_rank": "lastPos"}
     ).select("chart_date", "rank", "title", "artist", "weeks", "peakPos", "lastPos"))
-    upper = landed.where("rank <= 5").withColumn("chart_name", F.lit("upper-half"))
+    upper = landed.where("rank <= 50").withColumn("chart_name", F.lit("upper"))
     both = landed.withColumn("chart_name", F.lit(None).cast("string")).unionByName(upper)
     both.repartition(40, "chart_date").write.json(f"{base}/landed")
     both.where(F.month("chart_date") == 3).repartition(12, "chart_date").write.mode("append").json(f"{base}/landed")

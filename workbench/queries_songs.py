@@ -65,17 +65,21 @@ def fuzzy_best(spark, sf):
     )
 
 
-AGG = f"""hits AS (
+# Scores of distinct keys; entries and songs meet through those that reach the threshold.
+AGG = f"""pairs AS (
+  SELECT * FROM (SELECT *, {v.SCORE} AS score FROM (SELECT DISTINCT st, sa FROM song_keys), (SELECT DISTINCT ct, ca FROM chart_keys))
+  WHERE score >= 0.75::DOUBLE),
+hits AS (
   SELECT song_ord, max(score) AS billboard_match_score_best, count(*) AS billboard_snapshots_matched,
     min(rank999) AS billboard_rank_best, max(rank999) AS billboard_rank_worst, min(peak999) AS billboard_peak_rank_best,
     max(weeks0) AS billboard_weeks_on_chart_max,
     first(struct_pack(rank := rank, weeks := weeks_on_chart, peak := peak_rank, last := last_week_rank, day := chart_date)
       ORDER BY score DESC, rank999, date_ord, row_ord) AS lead
-  FROM (SELECT s.song_ord, s.st, s.sa, c.*, {v.SCORE} AS score,
+  FROM (SELECT s.song_ord, c.*, score,
       CASE WHEN coalesce(c.rank, 0) = 0 THEN 999 ELSE c.rank END::DOUBLE AS rank999,
       CASE WHEN coalesce(c.peak_rank, 0) = 0 THEN 999 ELSE c.peak_rank END::DOUBLE AS peak999,
       coalesce(c.weeks_on_chart, 0)::DOUBLE AS weeks0
-    FROM song_keys s, chart_keys c) WHERE score >= 0.75::DOUBLE GROUP BY song_ord),
+    FROM song_keys s JOIN pairs USING (st, sa) JOIN chart_keys c USING (ct, ca)) GROUP BY song_ord),
 matches AS (
   SELECT track_name, artist_name, 'songs' AS kaggle_source_csv, h.* EXCLUDE (song_ord, billboard_snapshots_matched),
     (h.song_ord IS NOT NULL)::BIGINT AS billboard_matched, coalesce(h.billboard_snapshots_matched, 0) AS billboard_snapshots_matched

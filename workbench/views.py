@@ -45,7 +45,7 @@ def songs(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def chart(spark: SparkSession, folder: str) -> DataFrame:
-    """Weekly top-ten chart of (part name, brand) by quantity shipped."""
+    """Weekly chart of (part name, brand) by quantity shipped."""
     lines = table(spark, folder, "lineitem").select("l_partkey", "l_shipdate", "l_quantity")
     parts = table(spark, folder, "part").select("p_partkey", "p_name", "p_brand")
     weekly = (
@@ -57,7 +57,7 @@ def chart(spark: SparkSession, folder: str) -> DataFrame:
         .agg(F.sum("q").alias("q"))
     )
     week = Window.partitionBy("chart_date").orderBy(F.col("q").desc(), "p_name", "p_brand")
-    top = weekly.withColumn("rank", F.row_number().over(week)).where(F.col("rank") <= 10)
+    top = weekly.withColumn("rank", F.row_number().over(week))
     run = Window.partitionBy("p_name", "p_brand").orderBy("chart_date")
     upto = run.rowsBetween(Window.unboundedPreceding, 0)
     last_week = F.lag("chart_date").over(run) == F.date_sub("chart_date", 7)
@@ -125,16 +125,15 @@ CHART = """weekly AS (
   SELECT CAST(l_shipdate AS DATE) + CAST((6 - dayofweek(CAST(l_shipdate AS DATE))) AS INTEGER) AS chart_date,
     p_name, p_brand, sum(l_quantity) AS q
   FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY ALL),
-top_ten AS (
-  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY chart_date ORDER BY q DESC, p_name, p_brand) AS rank
-    FROM weekly) WHERE rank <= 10),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY chart_date ORDER BY q DESC, p_name, p_brand) AS rank FROM weekly),
 chart AS (
   SELECT 'hot-100' AS chart_name, CAST(chart_date AS DATE) AS chart_date,
     date_diff('day', DATE '1970-01-01', CAST(chart_date AS DATE)) AS date_ord, rank AS row_ord, rank,
     p_name AS track_name, p_brand AS artist_name,
     count(*) OVER upto AS weeks_on_chart, min(rank) OVER upto AS peak_rank,
     CASE WHEN lag(chart_date) OVER run = CAST(chart_date AS DATE) - 7 THEN lag(rank) OVER run ELSE 0 END AS last_week_rank
-  FROM top_ten
+  FROM ranked
   WINDOW run AS (PARTITION BY p_name, p_brand ORDER BY chart_date),
     upto AS (PARTITION BY p_name, p_brand ORDER BY chart_date ROWS UNBOUNDED PRECEDING))"""
 
