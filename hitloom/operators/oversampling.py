@@ -45,6 +45,13 @@ def synthetic_rows(
     equally often; the remainder goes to the first rows in hash order. Neighbour and position
     are taken from hashes, so a rerun gives the same rows.
     """
+    return synthetic_sets(train, label, key, [k], seed, features)[k]
+
+
+def synthetic_sets(
+    train: DataFrame, label: str, key: str, ks: list[int], seed: int, features: str = "features"
+) -> dict[int, DataFrame]:
+    """:func:`synthetic_rows` for several numbers of neighbours, which are searched for once."""
     counts = {r[label]: r["n"] for r in train.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
     minority = min(counts, key=lambda c: (counts[c], c))
     size, missing = counts[minority], max(counts.values()) - counts[minority]
@@ -59,12 +66,15 @@ def synthetic_rows(
         cut = hash_cuts(rows, prefix_counts(rows, "c"), "c", quota).first()["cut"]
         again = again + (F.col("_h") <= cut).cast("int")
     used = rows.select("key", "vec", again.alias("times"))
-    near = nearest_neighbours(rows.select("key", "vec"), k).select("key", "near")
-    drawn = (
-        used.where("times > 0")
-        .join(near, "key")
-        .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("times"))))
-    )
+    near = nearest_neighbours(rows.select("key", "vec"), max(ks)).select("key", "near")
+    drawn = used.where("times > 0").join(near, "key")
+    drawn = settle(drawn) if len(ks) > 1 else drawn
+    return {k: _between(drawn.withColumn("near", F.slice("near", 1, k)), seed, features, minority, label) for k in ks}
+
+
+def _between(drawn: DataFrame, seed: int, features: str, minority, label: str) -> DataFrame:
+    """Each row as often as it is used, moved towards one of its neighbours."""
+    drawn = drawn.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("times"))))
     pick = F.pmod(F.xxhash64("key", "copy", F.lit(f"pick{seed}")), F.size("near")) + 1
     u = F.pmod(F.xxhash64("key", "copy", F.lit(f"step{seed}")), F.lit(1 << 30)) / F.lit(float(1 << 30))
     other = F.element_at("near", pick.cast("int"))

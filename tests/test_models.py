@@ -6,7 +6,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from hitloom.contracts import ExplainSettings, FeatureContract, ForestSettings, LinearSettings, NetSettings
-from hitloom.operators import attribution as at, forest as fo, network as nw, oversampling as ov, preparation as pp
+from hitloom.operators import attribution as at, forest as fo, logistic as lg, network as nw, oversampling as ov, preparation as pp
 from hitloom.operators.neighbours import cells_of, cells_within, closest, nearest_neighbours, pivots_of, squares
 from hitloom.plans import explaining as ex, training as tr, tuning as tu
 from hitloom.sources import sinks
@@ -272,6 +272,50 @@ def test_linear_summary(table):
     assert len(rows) == 2 and rows[0].mean_abs_shap >= rows[1].mean_abs_shap > 0
 
 
+def _newton(x, y, c, passes=60):
+    a = np.concatenate([np.ones((len(x), 1)), x], axis=1)
+    w, ridge = np.zeros(a.shape[1]), np.append(0, np.full(x.shape[1], 1 / (c * len(x))))
+    for _ in range(passes):
+        p = 1 / (1 + np.exp(-a @ w))
+        w = w - np.linalg.solve((a.T * (p * (1 - p))) @ a / len(a) + np.diag(ridge + 1e-15), a.T @ (p - y) / len(a) + ridge * w)
+    return w
+
+
+def test_candidates_fitted_together(spark):
+    """Coefficients of all candidates at once equal those of separate fits, however the rows are partitioned."""
+    rng = np.random.default_rng(3)
+    rows, parts = [], {}
+    for part, width in ((0, 3), (1, 4)):
+        x = rng.normal(size=(400, width)) * ([1, 2, 0.2, 1][:width])
+        y = (x @ [1, -0.5, 2, 0.3][:width] + rng.normal(size=400) > 0.4).astype(float)
+        pick = rng.choice([-1, 3, 5], size=400)
+        parts[part] = x, y, pick
+        rows += [(v.tolist(), float(t), part, None if p < 0 else int(p)) for v, t, p in zip(x, y, pick)]
+    df = spark.createDataFrame(rows, "x array<double>, y double, part int, pick int")
+    models = [lg.Candidate(part, pick, c) for part in (0, 1) for pick in (3, 5) for c in (1e-3, 0.1, 1.0, 100.0)]
+    models.append(lg.Candidate(7, None, 1.0))  # no rows
+    found = lg.fit_many(df.repartition(3), models)
+    for m, w in zip(models[:-1], found):
+        x, y, pick = parts[m.part]
+        use = (pick == -1) | (pick == m.pick)
+        np.testing.assert_allclose(w, _newton(x[use], y[use], m.c), atol=1e-6)
+    assert found[-1].tolist() == [0.0]
+    again = lg.fit_many(df.repartition(8), models)
+    for a, b in zip(found, again):
+        np.testing.assert_allclose(a, b, atol=1e-6)
+    x, y, pick = parts[1]
+    tn, fp, fn, tp = lg.confusions(df.where("part = 1"), models[8:9], found[8:9])[0]
+    hit = x @ found[8][1:] + found[8][0] > 0
+    assert (tn, fp, fn, tp) == tuple(int(((y == a) & (hit == b)).sum()) for a, b in ((0, 0), (0, 1), (1, 0), (1, 1)))
+    # Spark's own fit of the same candidate.
+    from pyspark.ml.functions import array_to_vector
+
+    own = df.where("part = 0 and pick is null").select(array_to_vector("x").alias("features"), F.col("y").alias("label"))
+    model = tr.fit_linear(own, LinearSettings(c=0.1))
+    alone = lg.fit_many(df.where("pick is null"), [lg.Candidate(0, None, 0.1)])[0]
+    np.testing.assert_allclose([model.intercept, *model.coefficients], alone, atol=1e-4)
+
+
 def test_search(table):
     linear = tu.tune_linear(table, "k", CONTRACT, LinearSettings(), tu.Search(2, 2, "roc_auc")).metrics
     assert linear["tuned"] and linear["best_cv_score"] == max(s["score"] for s in linear["search"])

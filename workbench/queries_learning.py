@@ -252,7 +252,7 @@ def _search_rows(spark, run):
 
 @query("logreg_tuned")
 def logreg_tuned(spark, sf):
-    run = tu.tune_linear(_docs(spark, sf), "doc_id", DOC_COLUMNS, LinearSettings(oversample=False), tu.Search(2, 2))
+    run = tu.tune_linear(_docs(spark, sf), "doc_id", DOC_COLUMNS)
     return _search_rows(spark, run)
 
 
