@@ -1,25 +1,30 @@
 """A small neural classifier trained data-parallel.
 
 Layers d -> 32 -> 16 -> 1 with ReLU, dropout after the first, binary cross-entropy on the logit
-and Adam. In every epoch each partition runs its own mini-batches from the shared state; the
-states are then averaged on Spark, weighted by rows. With one partition this is plain mini-batch
-training. Only the state (a few thousand numbers) passes through the driver.
+and Adam. In every epoch each shard of the rows runs its own mini-batches from the shared state; the
+states are then averaged on Spark, weighted by rows. Shards and their random streams depend on the
+rows only, so the weights do not depend on partitions. Only the state (a few thousand numbers) passes
+through the driver.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark import StorageLevel
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from hitloom.session import settle
+
 # Layer widths, dropout and optimiser constants.
 HIDDEN = (32, 16)
 DROPOUT = 0.5
 BETA1, BETA2, EPSILON = 0.9, 0.999, 1e-8
+SHARD, LEAST_SHARDS = 16384, 8
 
 
 def shapes(width: int) -> list[tuple[int, ...]]:
@@ -100,50 +105,66 @@ class Net:
         return score(features)
 
 
-def _epoch(rows: DataFrame, state: np.ndarray, width: int, step: float, settings, epoch: int) -> tuple:
+def sharded(rows: DataFrame, key: str, features: str, label: str) -> DataFrame:
+    """Rows dealt by a hash of their key into shards of about ``SHARD`` rows, each one row of the result, ordered within.
+
+    Shards depend on the rows only, not on how they are partitioned or on how many executors there are.
+    """
+    shards = max(LEAST_SHARDS, -(-rows.count() // SHARD))
+    place = F.xxhash64(F.col(key).cast("string"))
+    row = F.struct(place.alias("h"), F.col(key).cast("string").alias("k"), F.col(label).cast("double").alias("y"), F.col(features).alias("x"))
+    dealt = rows.groupBy(F.pmod(place, F.lit(shards)).cast("int").alias("shard")).agg(F.sort_array(F.collect_list(row)).alias("rows"))
+    return settle(dealt.select("shard", F.transform("rows", lambda r: r["y"]).alias("y"), F.flatten(F.transform("rows", lambda r: r["x"])).alias("x")))
+
+
+def _epoch(shards: DataFrame, state: np.ndarray, step: float, settings, epoch: int) -> tuple[np.ndarray, float]:
     n = len(state) // 3
-    batch, lr, seed = settings.batch_size, settings.lr, settings.seed
-
-    def learn(batches):
-        flat, m, v = state[:n].copy(), state[n : 2 * n].copy(), state[2 * n :].copy()
-        t, seen = step, 0
-        for i, pdf in enumerate(batches):
-            if not len(pdf):
-                continue
-            x, y = np.stack(pdf["x"].to_numpy()), pdf["y"].to_numpy(dtype="float64")
-            rng = np.random.default_rng((seed, epoch, i, len(pdf)))
-            order = rng.permutation(len(pdf))
-            for at in range(0, len(pdf), batch):
-                take = order[at : at + batch]
-                keep = (rng.random((len(take), HIDDEN[0])) >= DROPOUT) / (1.0 - DROPOUT)
-                g = loss_gradient(flat, x[take], y[take], keep)
-                t += 1
-                m = BETA1 * m + (1 - BETA1) * g
-                v = BETA2 * v + (1 - BETA2) * g * g
-                flat = flat - lr * (m / (1 - BETA1**t)) / (np.sqrt(v / (1 - BETA2**t)) + EPSILON)
-            seen += len(pdf)
-        if seen:
-            yield pd.DataFrame({"rows": [seen], "t": [t], "state": [np.concatenate([flat, m, v])]})
-
-    parts = rows.mapInPandas(learn, "rows bigint, t double, state array<double>")
-    cells = parts.select("rows", "t", F.posexplode("state").alias("i", "value"))
-    mean = F.sum(F.col("value") * F.col("rows")) / F.sum("rows")
-    step_mean = F.sum(F.col("t") * F.col("rows")) / F.sum("rows")
-    averaged = cells.groupBy("i").agg(mean.alias("value"), step_mean.alias("t")).collect()
-    out = np.empty_like(state)
-    for row in averaged:  # one row per number of the state
-        out[row.i] = row.value
-    return out, averaged[0].t
-
-
-def train_network(rows: DataFrame, features: str, label: str, settings) -> Net:
-    """Train on rows with an array column of features and a 0/1 label."""
-    data = rows.select(F.col(features).alias("x"), F.col(label).cast("double").alias("y"))
-    data = data.persist(StorageLevel.MEMORY_AND_DISK)
-    width = len(data.select("x").first()[0])
+    size, lr, seed = settings.batch_size, settings.lr, settings.seed
+
+    def learned(shard: int, x: np.ndarray, y: np.ndarray) -> tuple[float, np.ndarray]:
+        flat, m, v, t = state[:n].copy(), state[n : 2 * n].copy(), state[2 * n :].copy(), step
+        rng = np.random.default_rng((seed, epoch, shard))
+        order = rng.permutation(len(y))
+        for at in range(0, len(y), size):
+            take = order[at : at + size]
+            keep = (rng.random((len(take), HIDDEN[0])) >= DROPOUT) / (1.0 - DROPOUT)
+            g = loss_gradient(flat, x[take], y[take], keep)
+            t += 1
+            m = BETA1 * m + (1 - BETA1) * g
+            v = BETA2 * v + (1 - BETA2) * g * g
+            flat = flat - lr * (m / (1 - BETA1**t)) / (np.sqrt(v / (1 - BETA2**t)) + EPSILON)
+        return t, np.concatenate([flat, m, v])
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for r in range(batch.num_rows):
+                y = batch.column(1).slice(r, 1).flatten().to_numpy()
+                x = batch.column(2).slice(r, 1).flatten().to_numpy().reshape(len(y), -1)
+                shard = batch.column(0)[r].as_py()
+                t, after = learned(shard, x, y)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([shard], pa.int32()), pa.array([len(y)], pa.int64()), pa.array([[t, *after]], pa.list_(pa.float64()))],
+                    names=["shard", "n", "state"],
+                )
+
+    parts = shards.mapInArrow(learn, "shard int, n bigint, state array<double>")
+    cells = parts.select("shard", "n", F.posexplode("state").alias("i", "value"))
+    # Sums go by shard, so that not even rounding depends on the order in which tasks end.
+    listed = cells.groupBy("i").agg(F.sort_array(F.collect_list(F.struct("shard", "n", "value"))).alias("s"))
+    total = F.aggregate("s", F.lit(0.0), lambda a, c: a + c["n"] * c["value"])
+    mean = total / F.aggregate("s", F.lit(0).cast("bigint"), lambda a, c: a + c["n"])
+    out = np.empty(len(state) + 1)
+    for r in listed.select("i", mean.alias("value")).collect():  # one row per number of the state
+        out[r.i] = r.value
+    return out[1:], float(out[0])
+
+
+def train_network(rows: DataFrame, key: str, features: str, label: str, settings) -> Net:
+    """Train on rows with a unique key, an array column of features and a 0/1 label."""
+    shards = sharded(rows, key, features, label)
+    width = shards.select((F.size("x") / F.size("y")).cast("int").alias("n")).first().n
     flat = initial(width, settings.seed)
     state, step = np.concatenate([flat, np.zeros(2 * len(flat))]), 0.0
     for epoch in range(settings.epochs):
-        state, step = _epoch(data, state, width, step, settings, epoch)
-    data.unpersist()
+        state, step = _epoch(shards, state, step, settings, epoch)
     return Net(state[: len(flat)], width)

@@ -179,12 +179,16 @@ def train_forest(
     return Trained(prepared, model, split, metrics, asdict(settings))
 
 
-def train_net(
-    df: DataFrame, key: str, contract: FeatureContract = CHART_CONTRACT, settings: NetSettings = NetSettings()
-) -> Trained:
-    """The neural classifier; its threshold maximises F1 on the validation part (or the test)."""
-    if settings.threshold_on not in ("validation", "test"):
-        raise ValueError(f"threshold_on is 'validation' or 'test', not {settings.threshold_on!r}")
+@dataclass(frozen=True)
+class NetRows:
+    """Rows prepared once for any number of networks: the split, and the training part with its validation flag."""
+
+    split: Split
+    prepared: Prepared
+    parts: DataFrame
+
+
+def net_rows(df: DataFrame, key: str, contract: FeatureContract, settings: NetSettings) -> NetRows:
     split = split_rows(df, contract, settings, key)
     prepared = fit_preparation(split.train, list(split.numeric), list(split.categorical))
     ready = prepared.transform(split.train).select(
@@ -194,14 +198,26 @@ def train_net(
     stratum = split.label
     if min(sizes.values()) < 2:  # a class of one row cannot be split by class
         ready, stratum = ready.withColumn("all", F.lit(0)), "all"
-    parts = with_test_flag(ready, stratum, split.key, settings.seed + 1, settings.validation, settled=True)
-    net = train_network(parts.where(~F.col("is_test")), "x", split.label, settings)
+    return NetRows(split, prepared, with_test_flag(ready, stratum, split.key, settings.seed + 1, settings.validation, settled=True))
+
+
+def fit_net(rows: NetRows, settings: NetSettings) -> tuple[Net, float]:
+    """A network with the threshold of highest F1 on the validation part (or the test), and that F1."""
+    if settings.threshold_on not in ("validation", "test"):
+        raise ValueError(f"threshold_on is 'validation' or 'test', not {settings.threshold_on!r}")
+    split = rows.split
+    net = train_network(rows.parts.where(~F.col("is_test")), split.key, "x", split.label, settings)
     if settings.threshold_on == "validation":
-        held = parts.where("is_test").withColumn("probability", net.probability(F.col("x")))
+        held = rows.parts.where("is_test").withColumn("probability", net.probability(F.col("x")))
     else:
-        held = score(split.test, prepared, net)
+        held = score(split.test, rows.prepared, net)
     best = best_threshold(held, "probability", split.label).first()
-    net = replace(net, threshold=float(best["threshold"]))
+    return replace(net, threshold=float(best["threshold"])), float(best["f1"] or 0.0)
+
+
+def net_run(rows: NetRows, net: Net, settings: NetSettings) -> Trained:
+    """The network's test metrics."""
+    split = rows.split
     extra = {
         "use_smote": False,
         "smote_k_neighbors": None,
@@ -212,8 +228,19 @@ def train_net(
         "val_fraction": settings.validation,
         "decision_threshold": net.threshold,
     }
-    metrics = _metrics("mlp", split, settings, score(split.test, prepared, net), extra)
-    return Trained(prepared, net, split, metrics, asdict(settings))
+    metrics = _metrics("mlp", split, settings, score(split.test, rows.prepared, net), extra)
+    return Trained(rows.prepared, net, split, metrics, asdict(settings))
+
+
+def train_net(
+    df: DataFrame, key: str, contract: FeatureContract = CHART_CONTRACT, settings: NetSettings = NetSettings()
+) -> Trained:
+    """The neural classifier; its threshold maximises F1 on the validation part (or the test)."""
+    if settings.threshold_on not in ("validation", "test"):
+        raise ValueError(f"threshold_on is 'validation' or 'test', not {settings.threshold_on!r}")
+    rows = net_rows(df, key, contract, settings)
+    net, _ = fit_net(rows, settings)
+    return net_run(rows, net, settings)
 
 
 def save_net(spark: SparkSession, folder: str, trained: Trained) -> None:

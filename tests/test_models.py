@@ -316,6 +316,15 @@ def test_candidates_fitted_together(spark):
     np.testing.assert_allclose([model.intercept, *model.coefficients], alone, atol=1e-4)
 
 
+def test_network_does_not_depend_on_partitions(table):
+    rows = table.select("k", "is_hit", F.array(F.coalesce("energy", F.lit(0.0)), "tempo").alias("x"))
+    few = NetSettings(epochs=3)
+    nets = [nw.train_network(rows.repartition(n), "k", "x", "is_hit", few) for n in (1, 2, 8)]
+    assert len(set(map(tuple, (n.weights for n in nets)))) == 1
+    sizes = [len(r.y) for r in nw.sharded(rows, "k", "x", "is_hit").select("y").collect()]
+    assert sum(sizes) == 400 and len(sizes) == nw.LEAST_SHARDS
+
+
 def test_search(table):
     linear = tu.tune_linear(table, "k", CONTRACT, LinearSettings(), tu.Search(2, 2, "roc_auc")).metrics
     assert linear["tuned"] and linear["best_cv_score"] == max(s["score"] for s in linear["search"])

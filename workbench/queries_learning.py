@@ -234,13 +234,10 @@ def _docs(spark, sf):
     return v.docs(spark, sf).withColumn("release_date", F.lit(None).cast("string"))
 
 
-SHORT = NetSettings(epochs=5)
-
-
 @query("mlp_score")
 def mlp_score(spark, sf):
     df = _docs(spark, sf)
-    run = tr.train_net(df, "doc_id", DOC_COLUMNS, SHORT)
+    run = tr.train_net(df, "doc_id", DOC_COLUMNS)
     frame, _, _ = pp.training_frame(df, DOC_COLUMNS)
     return _predictions(run, frame)
 
