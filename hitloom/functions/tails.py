@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
@@ -55,12 +56,34 @@ def student_p(t, df):
     return p(t, df)
 
 
-def normal_p(z):
-    """Two-sided p-value of a standard normal statistic."""
-    call = _each(lambda v: math.erfc(abs(v) / math.sqrt(2.0)))
+def u_distribution(m: int, n: int) -> np.ndarray:
+    """P(U = u) for u = 0..m n under the null hypothesis, without ties: by Gauss' product, factor by factor."""
+    m, n = min(m, n), max(m, n)
+    f = np.zeros(m * n + 1)
+    f[0] = 1.0
+    for i in range(1, m + 1):
+        f[n + i :] -= f[: max(0, len(f) - n - i)].copy()
+        for r in range(i):
+            f[r::i] = np.cumsum(f[r::i])
+        f *= i / (n + i)  # so that the values stay shares
+    return np.maximum(f, 0.0)
+
+
+def u_two_sided(u: float, m: int, n: int) -> float:
+    """Exact two-sided p-value of Mann-Whitney's U."""
+    tail = u_distribution(m, n)[: math.floor(min(u, m * n - u)) + 1].sum()
+    return float(min(1.0, 2 * tail))
+
+
+def u_p(u, n_pos, n_neg, exact, z):
+    """Two-sided p-value of U: by its own law where ``exact``, else from z."""
 
     @F.pandas_udf("double")
-    def p(a: pd.Series) -> pd.Series:
-        return call(a)
+    def p(a: pd.Series, m: pd.Series, n: pd.Series, own: pd.Series, b: pd.Series) -> pd.Series:
+        found = [
+            None if pd.isna(x) else u_two_sided(x, int(i), int(j)) if e else None if pd.isna(v) else math.erfc(abs(v) / math.sqrt(2.0))
+            for x, i, j, e, v in zip(a, m, n, own, b)
+        ]
+        return pd.Series(found, dtype="float64")
 
-    return p(z)
+    return p(u, n_pos, n_neg, exact, z)

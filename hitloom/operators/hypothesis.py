@@ -7,11 +7,15 @@ from pyspark.sql import functions as F
 
 from hitloom.contracts import TEST_FEATURES
 from hitloom.functions.numeric import lenient_double
-from hitloom.functions.tails import normal_p, student_p
+from hitloom.functions.tails import student_p, u_p
 from hitloom.operators.coercion import test_label
 from hitloom.operators.ranking import rank_statistics
 
 
+# Fixed value: the size of the smaller group up to which U is judged by its exact law, if nothing ties.
+EXACT_ROWS = 8
+
+
 def _tested(df: DataFrame, label: Column, features: list[str]) -> DataFrame:
     return df.select(
         label.alias("y"), *[lenient_double(F.col(f)).alias(f) for f in features if f in df.columns]
@@ -22,6 +26,10 @@ def two_sample_moments(df: DataFrame, features: list[str], label: str = "is_hit"
     """Sizes, means and sample variances per feature and class, one pass, one row per feature."""
     rows = _tested(df, test_label(df, label), features)
 
+    def spread(x: Column) -> Column:
+        """Sample variance; a constant has none at all, where sums of rounded squares leave a trace."""
+        return F.when(F.min(x) == F.max(x), F.when(F.count(x) > 1, F.lit(0.0))).otherwise(F.var_samp(x))
+
     def moments(f: str) -> Column:
         x = F.col(f)
         hit, miss = F.when(F.col("y") == 1, x), F.when(F.col("y") == 0, x)
@@ -31,8 +39,8 @@ def two_sample_moments(df: DataFrame, features: list[str], label: str = "is_hit"
             F.count(miss).alias("n_miss"),
             F.avg(hit).alias("mean_hit"),
             F.avg(miss).alias("mean_miss"),
-            F.var_samp(hit).alias("var_hit"),
-            F.var_samp(miss).alias("var_miss"),
+            spread(hit).alias("var_hit"),
+            spread(miss).alias("var_miss"),
         )
 
     present = [f for f in features if f in df.columns]
@@ -66,8 +74,10 @@ def mann_whitney(df: DataFrame, features: list[str], label: str = "is_hit") -> D
     spread = F.sqrt(n1 * n0 / 12 * (n + 1 - F.col("tie_sum") / (n * (n - 1))))
     larger = F.greatest(F.col("u"), n1 * n0 - F.col("u"))
     z = F.try_divide(larger - n1 * n0 / 2 - 0.5, spread)
+    exact = (F.least("n_pos", "n_neg") <= EXACT_ROWS) & (F.col("tie_sum") == 0)
     return stats.select(
-        "feature", "n_pos", "n_neg", F.col("u").alias("mannwhitney_u_stat"), F.greatest(z, F.lit(0.0)).alias("z")
+        "feature", "n_pos", "n_neg", F.col("u").alias("mannwhitney_u_stat"), F.greatest(z, F.lit(0.0)).alias("z"),
+        F.coalesce(exact, F.lit(False)).alias("exact"),
     )
 
 
@@ -81,7 +91,7 @@ def hypothesis_table(
     if not present:
         return order.select("feature", F.lit("missing_column").alias("status"))
     moments = effect_size(welch(two_sample_moments(df, present, label)))
-    ranks = mann_whitney(df, present, label).select("feature", "mannwhitney_u_stat", "z")
+    ranks = mann_whitney(df, present, label).select("feature", "mannwhitney_u_stat", "z", "exact")
     joined = F.broadcast(order).join(moments, "feature", "left").join(ranks, "feature", "left")
     enough = (F.col("n_hit") > 1) & (F.col("n_miss") > 1)
     status = F.when(~F.col("present"), "missing_column").when(enough, "ok").otherwise("insufficient_samples")
@@ -95,7 +105,8 @@ def hypothesis_table(
     }
     if p_values:
         tested["welch_t_p_value"] = student_p(F.col("welch_t_stat"), F.col("welch_df"))
-        tested["mannwhitney_u_p_value"] = normal_p(F.col("z"))
+        tested["mannwhitney_u_p_value"] = u_p(*[F.col(c) for c in ("mannwhitney_u_stat", "n_hit", "n_miss", "exact", "z")])
+        tested["status_p"] = F.when(F.col("exact"), "exact").otherwise("asymptotic")
     return joined.withColumn("status", status).select(
         "feature", "status", "n_hit", "n_miss", *[F.when(enough, v).alias(k) for k, v in tested.items()]
     )

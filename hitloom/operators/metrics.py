@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hitloom.functions.numeric import harmonic_f1
-from hitloom.operators.ranking import RANGE_ROWS, class_cells, rank_statistics, value_points
+from hitloom.operators.ranking import RANGE_ROWS, class_cells, rank_statistics, ranges_for
 from hitloom.operators.skew import running_sums
 from hitloom.session import settle
 
@@ -87,9 +87,8 @@ def roc_auc(df: DataFrame, score: str, label: str = "is_hit", rows_per_range: in
 def threshold_curve(df: DataFrame, score: str, label: str = "is_hit", rows_per_range: int = RANGE_ROWS) -> DataFrame:
     """Precision, recall and F1 when rows scoring at least a distinct score count as hits."""
     cells = settle(class_cells(df, [score], label))
-    points = value_points(cells, rows_per_range)
     sums = {"pos": "pos_above", "neg": "neg_above"}
-    above = running_sums(cells, "value", sums, points, descending=True)
+    above = running_sums(cells, "value", sums, ranges_for(cells, rows_per_range), descending=True)
     hits = cells.agg(F.sum("pos").alias("p")).scalar()
     tp, fp = F.col("pos_above") + F.col("pos"), F.col("neg_above") + F.col("neg")
     precision, recall = _ratio(tp, tp + fp), _ratio(tp, hits)

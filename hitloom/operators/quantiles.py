@@ -6,14 +6,16 @@ from math import ceil, floor
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+
+from hitloom.operators.skew import running_sums
 
 ACCURACY = 10_000
+RANGE_ROWS = 200_000
 MARGIN = 4.0 / ACCURACY  # wider than the rank error of the sketch
 
 
 def _bracketed(df: DataFrame, number: dict, asked: list[tuple[str, float]]) -> list[tuple]:
-    """(column, p, lo, hi, total, below) per asked quantile whose column has values; its ranks lie in lo..hi.
+    """(column, p, lo, hi, total, below, inside) per asked quantile whose column has values; its ranks lie in lo..hi.
 
     A sketch proposes brackets, one aggregate counts the values below and inside them, and those
     that miss a rank are proposed again wider, at last from the least to the greatest value.
@@ -36,18 +38,19 @@ def _bracketed(df: DataFrame, number: dict, asked: list[tuple[str, float]]) -> l
         for (c, p, lo, hi), k in zip(spans, df.agg(F.array(*cells).alias("k")).first()["k"]):
             spot = (k["total"] - 1) * p
             if margin >= 1 or (k["below"] <= floor(spot) and ceil(spot) < k["below"] + k["inside"]):
-                done.append((c, p, lo, hi, k["total"], k["below"]))
+                done.append((c, p, lo, hi, k["total"], k["below"], k["inside"]))
             else:
                 asked.append((c, p))
         margin = max(16 * margin, 4.0 / ACCURACY)
     return done
 
 
-def exact_quantiles(df: DataFrame, columns: list[str], shares: list[float]) -> DataFrame:
+def exact_quantiles(df: DataFrame, columns: list[str], shares: list[float], rows_per_range: int = RANGE_ROWS) -> DataFrame:
     """Interpolated quantiles per column, as (feature, p, value); NULLs are left out.
 
     Each quantile is bracketed by two values (see :func:`_bracketed`); the few values inside are
-    grouped and ranked, so ranking sees about ``2 * MARGIN`` of the rows and each value once.
+    grouped and ranked in ranges of at most about ``rows_per_range`` rows, so ranking sees about
+    ``2 * MARGIN`` of the rows, each value once, and no task a whole bracket.
     """
     spark = df.sparkSession
     number = {c: F.col(c).cast("double") for c in columns}
@@ -55,9 +58,9 @@ def exact_quantiles(df: DataFrame, columns: list[str], shares: list[float]) -> D
     if not found:
         return spark.createDataFrame([], "feature string, p double, value double")
     place = {c: i for i, c in enumerate(columns)}
-    brackets = [(place[c], p, number[c], lo, hi) for c, p, lo, hi, _, _ in found]
+    brackets = [(place[c], p, number[c], lo, hi) for c, p, lo, hi, *_ in found]
     outside = spark.createDataFrame(
-        [(place[c], float(p), total, below) for c, p, _, _, total, below in found], "i int, p double, total long, below long"
+        [(place[c], float(p), total, below) for c, p, _, _, total, below, _ in found], "i int, p double, total long, below long"
     )
     cells = [
         F.struct(F.lit(i).alias("i"), F.lit(float(p)).alias("p"), F.when(x.between(lo, hi), x).alias("v"))
@@ -65,11 +68,11 @@ def exact_quantiles(df: DataFrame, columns: list[str], shares: list[float]) -> D
     ]
     inside = df.select(F.explode(F.array(*cells)).alias("c")).select("c.*").where(F.col("v").isNotNull())
     grouped = inside.groupBy("i", "p", "v").agg(F.count(F.lit(1)).alias("n"))
-    upto = F.sum("n").over(Window.partitionBy("i", "p").orderBy("v"))
-    ranked = grouped.withColumn("upto", upto).join(F.broadcast(outside), ["i", "p"])
+    ranges = -(-sum(inside for *_, inside in found) // rows_per_range)
+    ranked = running_sums(grouped, "v", {"n": "before"}, ranges, ["i", "p"]).join(F.broadcast(outside), ["i", "p"])
     spot = (F.col("total") - 1) * F.col("p")
     low, high = F.floor(spot), F.ceil(spot)
-    last = F.col("below") + F.col("upto")
+    last = F.col("below") + F.col("before") + F.col("n")
 
     def at(rank):
         return F.max(F.when((last - F.col("n") <= rank) & (rank < last), F.col("v")))

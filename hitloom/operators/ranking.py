@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -11,7 +9,7 @@ from pyspark.sql.window import Window
 from hitloom.operators.skew import running_sums
 from hitloom.session import settle, settle_wide
 
-RANGE_ROWS, MAX_RANGES = 200_000, 1024
+RANGE_ROWS = 200_000
 HASH_DIGITS = 4  # quota histograms have at most 16^4 rows per class
 
 
@@ -34,24 +32,9 @@ def class_cells(df: DataFrame, columns: list[str], label: str) -> DataFrame:
     )
 
 
-def value_points(cells: DataFrame, rows_per_range: int = RANGE_ROWS) -> Column:
-    """Cut points per feature that split its distinct values about evenly, as a lookup.
-
-    As many ranges as needed for ``rows_per_range`` values each, at most ``MAX_RANGES``.
-    """
-    shares = [i / MAX_RANGES for i in range(1, MAX_RANGES)]
-    found = cells.groupBy("feature").agg(
-        F.count(F.lit(1)).alias("n"), F.percentile_approx("value", shares, 4 * MAX_RANGES).alias("points")
-    )
-    entries = []
-    for row in found.collect():  # one row per feature
-        ranges = min(MAX_RANGES, max(1, math.ceil(row.n / rows_per_range)))
-        points = sorted({row.points[MAX_RANGES * i // ranges - 1] for i in range(1, ranges)})
-        size = max(1, math.isqrt(len(points)))
-        runs = [F.array(*map(F.lit, points[at : at + size])) for at in range(0, len(points), size)]
-        entries += [F.lit(row.feature), F.array(*runs).cast("array<array<double>>")]
-    lookup = F.create_map(*entries) if entries else F.create_map()
-    return F.element_at(lookup.cast("map<string,array<array<double>>>"), F.col("feature"))
+def ranges_for(cells: DataFrame, rows_per_range: int = RANGE_ROWS) -> int:
+    """How many ranges of about ``rows_per_range`` rows a written table makes."""
+    return -(-cells.count() // rows_per_range)
 
 
 def rank_statistics(
@@ -63,8 +46,7 @@ def rank_statistics(
     Rows are folded to distinct values first; running sums go by value range.
     """
     cells = settle(class_cells(df, columns, label))
-    points = value_points(cells, rows_per_range)
-    below = running_sums(cells, "value", {"neg": "neg_below"}, points, ["feature"])
+    below = running_sums(cells, "value", {"neg": "neg_below"}, ranges_for(cells, rows_per_range), ["feature"])
     pos, neg = F.col("pos").cast("double"), F.col("neg").cast("double")
     ties = (pos + neg) * (pos + neg) * (pos + neg) - (pos + neg)
     total = below.groupBy("feature").agg(
@@ -82,7 +64,7 @@ def mid_ranks(df: DataFrame, column: str, rows_per_range: int = RANGE_ROWS) -> D
     rows = df.where(F.col(column).isNotNull())
     named = rows.select(F.lit(column).alias("feature"), F.col(column).cast("double").alias("value"))
     cells = settle(named.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n")))
-    below = running_sums(cells, "value", {"n": "below"}, value_points(cells, rows_per_range))
+    below = running_sums(cells, "value", {"n": "below"}, ranges_for(cells, rows_per_range))
     return below.select("value", "n", (F.col("below") + (F.col("n") + 1) / 2).alias("mid_rank"))
 
 

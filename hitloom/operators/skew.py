@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from hitloom.session import settle
+
 HOT_SHARE = 1.0 / 1024  # a key above this share is split; at most 1024 such keys can exist
 SALTS = 64
 
@@ -54,33 +56,25 @@ def salted_join(
     return joined.select(*[F.col(f"`{c}`") for c in order])
 
 
-def bucket_of(value: Column, points: Column) -> Column:
-    """How many sorted cut points lie below a value.
-
-    ``points`` is an array of runs of equal length; the run is found first, then the point in it.
-    """
-    runs = F.size(F.filter(points, lambda run: F.element_at(run, -1) < value))
-    run = F.get(points, runs)
-    inside = F.coalesce(F.size(F.filter(run, lambda p: p < value)), F.lit(0))
-    return runs * 1024 + F.greatest(inside, F.lit(0))
-
-
 def running_sums(
     cells: DataFrame,
     order: str,
     sums: dict[str, str],
-    points: Column,
+    ranges: int,
     groups: list[str] | None = None,
     descending: bool = False,
 ) -> DataFrame:
     """Add, for each ``sums[column]``, the total of ``column`` over the rows before this one.
 
-    Order is by ``order`` within ``groups`` and must be unique there. Rows go to value ranges
-    given by ``points`` (see :func:`bucket_of`); a range is one window group, and the totals of the
-    ranges before it come from a table with one row per group and range.
+    Order is by ``order`` within ``groups`` and must be unique there. Rows are dealt in order into
+    ``ranges`` parts of about equal size, whatever the values; a part is one window group, and the
+    totals of the parts before it come from a table with one row per part and group. Callers let
+    ``ranges`` grow with the rows, so no window holds more than a fixed number of them.
     """
     groups = groups or []
-    placed = cells.withColumn("_range", bucket_of(F.col(order), points))
+    # Written, since where Spark cuts the ranges is decided anew whenever they are computed.
+    dealt = cells.repartitionByRange(max(1, ranges), *groups, order)
+    placed = settle(dealt.withColumn("_range", F.spark_partition_id()))
 
     def sort(column: str) -> Column:
         return F.col(column).desc() if descending else F.col(column).asc()
@@ -94,7 +88,7 @@ def running_sums(
         "_range",
         *[F.coalesce(F.sum(c).over(outer), F.lit(0)).alias(f"_from_{c}") for c in sums],
     )
-    joined = placed.join(F.broadcast(starts), [*groups, "_range"])
+    joined = placed.join(starts, [*groups, "_range"])
     kept = [F.col(c) for c in cells.columns]
     return joined.select(
         *kept,

@@ -1,11 +1,17 @@
 """Skewed joins, running sums, ranks, quotas and quantiles against plain computation."""
 
+import math
+from collections import Counter
+from itertools import combinations
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from hitloom.functions.tails import u_distribution, u_two_sided
 from hitloom.operators import ranking as rk
 from hitloom.operators.attribution import hash_ranks
+from hitloom.operators.hypothesis import hypothesis_table
 from hitloom.operators.metrics import best_threshold, binary_metrics, class_report, confusion_cells, roc_auc
 from hitloom.operators.quantiles import exact_quantiles
 from hitloom.operators.skew import salted_join
@@ -156,3 +162,36 @@ def test_quantile_brackets_that_miss_are_widened(spark, monkeypatch):
     rows = spark.createDataFrame([(float(x), None) for x in a], "a double, none double")
     got = {(r.feature, r.p): r.value for r in exact_quantiles(rows, ["a", "none"], [0.1, 0.5, 0.77]).collect()}
     assert got == {("a", p): pytest.approx(np.quantile(a, p), abs=1e-12) for p in (0.1, 0.5, 0.77)}
+
+
+@pytest.mark.parametrize("m,n", [(1, 1), (2, 5), (4, 4), (3, 8), (8, 8)])
+def test_exact_law_of_u(m, n):
+    """Against all ways to place m of m + n ranks."""
+    ways = Counter(sum(c) - m * (m - 1) // 2 for c in combinations(range(m + n), m))
+    total = sum(ways.values())
+    assert u_distribution(m, n) == pytest.approx([ways[u] / total for u in range(m * n + 1)], abs=1e-13)
+    for u in range(m * n + 1):
+        less = sum(w for v, w in ways.items() if v <= min(u, m * n - u)) / total
+        assert u_two_sided(u, m, n) == pytest.approx(min(1, 2 * less), abs=1e-12)
+    assert sum(u_distribution(8, 50_000)) == pytest.approx(1)
+
+
+def test_law_of_u_is_chosen_by_size_and_ties(spark):
+    rows = [(int(i < 5), float(i), float(i // 2), float(i) if i < 12 else None, 0.1) for i in range(40)]
+    got = {r.feature: r for r in hypothesis_table(spark.createDataFrame(rows, "is_hit int, a double, b double, c double, d double"), ["a", "b", "c", "d"]).collect()}
+    assert [got[f].status_p for f in "abcd"] == ["exact", "asymptotic", "exact", "asymptotic"]
+    assert got["a"].mannwhitney_u_p_value == pytest.approx(2 / math.comb(40, 5))
+    assert got["c"].mannwhitney_u_p_value == pytest.approx(2 / math.comb(12, 5))
+    # A constant column has no spread, so no t and no effect.
+    assert got["d"].welch_t_stat is None and got["d"].cohens_d is None
+
+
+def test_more_ranges_than_1024(spark):
+    """A range per row or two: the same ranks, curve and quantiles as in one range."""
+    rng = np.random.default_rng(11)
+    x, y = np.concatenate([rng.normal(size=1100), np.zeros(300)]), rng.integers(0, 2, 1400)
+    df = spark.createDataFrame([(int(a), float(b)) for a, b in zip(y, x)], "is_hit int, x double")
+    fine, coarse = (rk.rank_statistics(df, ["x"], "is_hit", n).first() for n in (1, 10**6))
+    assert fine == coarse and fine.u == brute_u(x[y == 1], x[y == 0])
+    got = {r.p: r.value for r in exact_quantiles(df, ["x"], [0.1, 0.5, 0.9], 2).collect()}
+    assert got == pytest.approx({p: np.quantile(x, p) for p in (0.1, 0.5, 0.9)})
