@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+import random
 from collections.abc import Callable
 
 import numpy as np
@@ -14,6 +16,7 @@ from hitloom.operators.metrics import binary_metrics
 from hitloom.operators.network import Net, input_gradient
 from hitloom.operators.quantiles import exact_quantiles
 from hitloom.operators.ranking import HASH_DIGITS, hash_order
+from hitloom.session import settle
 
 GROUP_SCHEMA = "feature string, feature_group string, group_ord int"
 
@@ -84,6 +87,21 @@ def hash_ranks(df: DataFrame, groups: list[str], order: Column, name: str) -> Da
     return ranked.withColumn(name, F.col("_start") + F.row_number().over(inner) - 1).select(*df.columns, name)
 
 
+def permutation_of(n: int, seed: int, repeat: int) -> tuple[int, int, int]:
+    """(a, b, n) of a permutation i -> (a i + b) mod n of the first n numbers."""
+    draw = random.Random(f"{seed} {repeat}")
+    a = draw.randrange(1, max(2, n))
+    while math.gcd(a, n) != 1:
+        a = draw.randrange(1, max(2, n))
+    return a, draw.randrange(max(1, n)), max(1, n)
+
+
+def multiplied(i: str, a: str, b: str, n: str) -> Column:
+    """(a i + b) mod n, in decimals wide enough for the product."""
+    wide = F.col(i).cast("decimal(19,0)") * F.col(a).cast("decimal(19,0)") + F.col(b).cast("decimal(19,0)")
+    return F.pmod(wide, F.col(n).cast("decimal(19,0)")).cast("bigint")
+
+
 def permutation_importance(
     rows: DataFrame,
     key: str,
@@ -96,28 +114,17 @@ def permutation_importance(
 ) -> DataFrame:
     """Drop in F1 when one transformed feature (array column ``x``) is shuffled.
 
-    Every (feature, repeat) is one permutation: the row of hash rank i gets the value of the row
-    whose rank is i in an order of its own. All permutations are scored in one pass.
+    A repeat is one permutation for all features: the row of hash rank i takes a feature from the row
+    of rank (a i + b) mod n, with a prime to n. Rows meet their donors once per repeat, and features are
+    told apart only then, so what is shuffled does not grow with their number.
     """
-    trials = F.explode(
-        F.flatten(
-            F.transform(
-                F.sequence(F.lit(0), F.lit(len(names) - 1)),
-                lambda j: F.transform(
-                    F.sequence(F.lit(1), F.lit(repeats)), lambda r: F.struct(j.alias("j"), r.alias("r"))
-                ),
-            )
-        )
-    )
-    base = hash_ranks(rows.select(key, label, "x"), [], hash_order(F.col(key), seed), "i")
-    asked = base.withColumn("t", trials).select(key, label, "x", "i", "t.j", "t.r")
-    given = rows.withColumn("t", trials).select(
-        key, "t.j", "t.r", F.element_at("x", F.col("t.j") + 1).alias("given")
-    )
-    mixed = F.md5(F.concat_ws("_", F.lit(f"{seed}"), "j", "r", F.col(key).cast("string")))
-    donors = hash_ranks(given, ["j", "r"], mixed, "i").select("j", "r", "i", "given")
-    changed = asked.join(donors, ["j", "r", "i"]).withColumn(
-        "x", F.transform("x", lambda v, n: F.when(n == F.col("j"), F.col("given")).otherwise(v))
+    base = settle(hash_ranks(rows.select(key, label, "x"), [], hash_order(F.col(key), seed), "i"))
+    moves = [(r, *permutation_of(base.count(), seed, r)) for r in range(1, repeats + 1)]
+    drawn = F.array(*[F.struct(F.lit(r).alias("r"), F.lit(a).alias("a"), F.lit(b).alias("b"), F.lit(n).alias("n")) for r, a, b, n in moves])
+    asked = base.withColumn("t", F.explode(drawn)).select(label, "x", "t.r", multiplied("i", "t.a", "t.b", "t.n").alias("i"))
+    met = asked.join(base.select("i", F.col("x").alias("given")), "i")
+    changed = met.withColumn("j", F.explode(F.sequence(F.lit(0), F.lit(len(names) - 1)))).withColumn(
+        "x", F.transform("x", lambda v, n: F.when(n == F.col("j"), F.element_at("given", n + 1)).otherwise(v))
     )
 
     def f1(scored: DataFrame, *groups: str) -> DataFrame:

@@ -20,8 +20,12 @@ def recent_years(df: DataFrame, years_back: int | None, year: str = "release_yea
     return df.where(latest.isNull() | recent)
 
 
+def audio_columns(df: DataFrame, columns: tuple[str, ...] = AUDIO_COLUMNS) -> list[str]:
+    return [c for c in columns if c in df.columns]
+
+
 def missing_share(df: DataFrame, columns: tuple[str, ...] = AUDIO_COLUMNS):
-    present = [c for c in columns if c in df.columns]
+    present = audio_columns(df, columns)
     if not present:
         return None
     holes = sum((F.col(c).isNull().cast("int") for c in present), F.lit(0))

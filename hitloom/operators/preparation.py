@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from hitloom.contracts import FeatureContract, FrameSettings
 from hitloom.operators.coercion import coerce, contract_issues, model_columns, with_time_features
-from hitloom.operators.filters import audio_complete, recent_years
+from hitloom.operators.filters import audio_columns, audio_complete, audio_dropped, recent_years
 from hitloom.operators.quantiles import exact_quantiles
 
 
@@ -32,6 +32,14 @@ def training_frame(
     return labelled.withColumn(contract.label, F.col(contract.label).cast("int")), numeric, categorical
 
 
+def audio_summary(
+    df: DataFrame, contract: FeatureContract, settings: FrameSettings = FrameSettings()
+) -> tuple[list[str], DataFrame]:
+    """The audio columns of a training table, and how many rows :func:`training_frame` drops for missing ones (one row)."""
+    recent = recent_years(with_time_features(coerce(df, contract), contract), settings.years_back)
+    return audio_columns(recent), audio_dropped(recent, settings.max_audio_missing)
+
+
 def numeric_statistics(df: DataFrame, columns: list[str]) -> DataFrame:
     """Exact median, and mean and population deviation after median imputation, per column."""
     medians = exact_quantiles(df, columns, [0.5]).select("feature", F.col("value").alias("median"))

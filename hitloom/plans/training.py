@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hitloom.contracts import (
+    ARTIST_CONTRACT,
     CHART_CONTRACT,
     FeatureContract,
     ForestSettings,
@@ -22,7 +23,7 @@ from hitloom.contracts import (
 from hitloom.operators.metrics import best_threshold, binary_metrics, class_report, confusion_counts, roc_auc
 from hitloom.operators.network import Net, train_network
 from hitloom.operators.oversampling import oversample, oversampling_plan
-from hitloom.operators.preparation import Prepared, class_weights, fit_preparation, training_frame
+from hitloom.operators.preparation import Prepared, audio_summary, class_weights, fit_preparation, training_frame
 from hitloom.operators.ranking import with_test_flag
 from hitloom.session import settle
 from hitloom.sources.sinks import read_document, write_document
@@ -39,6 +40,8 @@ class Split:
     categorical: tuple[str, ...]
     label: str
     key: str
+    audio: tuple[str, ...] = ()  # audio columns of the table
+    dropped: DataFrame | None = None  # one row: how many rows their holes cost
 
 
 @dataclass(frozen=True)
@@ -67,7 +70,8 @@ def split_rows(
     rows = frame.select(key, contract.label, *numeric, *categorical)
     flagged = with_test_flag(rows, contract.label, key, settings.seed, settings.test_size, settled=True)
     train, test = flagged.where(~F.col("is_test")), flagged.where("is_test")
-    return Split(train, test, tuple(numeric), tuple(categorical), contract.label, key)
+    audio, dropped = audio_summary(df, contract, settings.frame)
+    return Split(train, test, tuple(numeric), tuple(categorical), contract.label, key, tuple(audio), dropped)
 
 
 def score(df: DataFrame, prepared: Prepared, classifier) -> DataFrame:
@@ -146,7 +150,9 @@ def _metrics(name: str, split: Split, settings, scored: DataFrame, extra: dict)
         "model": name,
         "n_rows": split.train.count() + split.test.count(),
         "recent_years_window": settings.frame.years_back,
-        "max_audio_missing_frac": settings.frame.max_audio_missing,
+        "audio_feature_columns": list(split.audio),
+        "max_audio_missing_frac": settings.frame.max_audio_missing if split.audio else None,
+        "n_rows_dropped_audio_missing": split.dropped.first()[0] if split.dropped is not None else 0,
         "n_features_numeric": len(split.numeric),
         "n_features_categorical": len(split.categorical),
         "test_size": settings.test_size,
@@ -167,6 +173,11 @@ def train_linear(
     return Trained(prepared, model, split, metrics, asdict(settings))
 
 
+def train_default(df: DataFrame, key: str, settings: LinearSettings = LinearSettings()) -> Trained:
+    """The linear model on the default table of artists' features."""
+    return train_linear(df, key, ARTIST_CONTRACT, settings)
+
+
 def train_forest(
     df: DataFrame, key: str, contract: FeatureContract = CHART_CONTRACT, settings: ForestSettings = ForestSettings()
 ) -> Trained:

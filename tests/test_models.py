@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from hitloom.contracts import ExplainSettings, FeatureContract, ForestSettings, LinearSettings, NetSettings
 from hitloom.operators import attribution as at, forest as fo, logistic as lg, network as nw, oversampling as ov, preparation as pp
 from hitloom.operators.neighbours import cells_of, cells_within, closest, nearest_neighbours, pivots_of, squares
-from hitloom.plans import explaining as ex, training as tr, tuning as tu
+from hitloom.plans import explaining as ex, scoring as sc, training as tr, tuning as tu
 from hitloom.sources import sinks
 
 CONTRACT = FeatureContract(ids=("k",), numeric=("energy", "tempo"), categorical=("genre",))
@@ -197,6 +197,30 @@ def test_network_learns_and_reloads(spark, table, net_run, tmp_path):
         tr.train_net(table, "k", CONTRACT, NetSettings(threshold_on="train"))
 
 
+def test_single_songs(table, net_run):
+    """Lookup, date from the year, month, probability and leading attributions of one song."""
+    songs = table.withColumns({"track_name": F.concat(F.lit("Song "), (F.col("k") % 50).cast("string")), "artist_name": F.lit(" The Band ")})
+    named = FeatureContract(ids=("track_name", "artist_name"), numeric=("energy", "tempo"), categorical=("genre",))
+    one = sc.score_song(songs, net_run.prepared, net_run.classifier, "k", track="song  7", artist="the band", contract=named).collect()
+    assert [r.k for r in one] == [7] and one[0].prediction == int(one[0].probability >= net_run.classifier.threshold)
+    same = sc.score_song(songs, net_run.prepared, net_run.classifier, "k", row=7, contract=named).first()
+    assert same == one[0]
+    frame, _, _ = pp.training_frame(table, CONTRACT)
+    assert net_run.score(frame.where("k = 7")).first().probability == pytest.approx(same.probability)
+    dated = songs.drop("release_date").withColumn("release_year", F.lit(2003))
+    assert sc.scoring_rows(dated, named).select("release_month").distinct().collect()[0][0] == 1
+    wanted = songs.sparkSession.createDataFrame([("SONG 3", "the band"), ("song 9", "The  Band"), ("nobody", "x")], "track string, artist string")
+    batch = sc.score_songs(songs, wanted, net_run.prepared, net_run.classifier, "k", named)
+    assert sorted(r.k for r in batch.collect()) == [3, 9]
+    top = sc.explain_song(songs, net_run.prepared, net_run.classifier, "k", row=7, contract=named, settings=ExplainSettings(max_samples=0, steps=16, top_k=2)).collect()
+    assert [r["rank"] for r in top] == [1, 2]
+    for bad in ({"row": 10_000}, {"track": "nobody"}, {}):
+        with pytest.raises(ValueError):
+            sc.score_song(songs, net_run.prepared, net_run.classifier, "k", contract=named, **bad)
+    assert {"audio_feature_columns", "max_audio_missing_frac", "n_rows_dropped_audio_missing"} <= set(net_run.metrics)
+    assert set(net_run.metrics["audio_feature_columns"]) == {"energy", "tempo"} and net_run.metrics["n_rows_dropped_audio_missing"] == 0
+
+
 def test_integrated_gradients_are_complete(table, net_run):
     frame, _, _ = pp.training_frame(table, CONTRACT)
     rows = ex.transformed(frame.where("k < 12"), net_run.prepared, "k")
@@ -223,6 +247,31 @@ def test_explanations_of_the_network(spark, table, net_run, tmp_path):
     assert 0 < summary.count() <= 15
 
 
+@pytest.mark.parametrize("n", [1, 2, 12, 97, 1000])
+def test_permutations_are_bijections(spark, n):
+    drawn = [at.permutation_of(n, 42, r) for r in range(1, 6)]
+    for a, b, size in drawn:
+        assert sorted((a * i + b) % size for i in range(n)) == list(range(n))
+    a, b, _ = 10**18 - 11, 10**18 - 3, 0
+    row = spark.createDataFrame([(10**18 - 1, a, b, 10**18)], "i bigint, a bigint, b bigint, n bigint")
+    assert row.select(at.multiplied("i", "a", "b", "n")).first()[0] == (a * (10**18 - 1) + b) % 10**18
+
+
+def test_shuffle_of_importance_does_not_grow_with_features(spark):
+    """The plan has the same exchanges for 2 features as for 40, and the drops are those of a model of one feature."""
+    def made(width):
+        rows = [(k, k % 2, [float(k % 2)] + [float(k % 7 + w) for w in range(width - 1)]) for k in range(200)]
+        df = spark.createDataFrame(rows, "k int, y int, x array<double>")
+        names = tuple(f"f{w}" for w in range(width))
+        return at.permutation_importance(df, "k", "y", names, lambda x: x[0], 0.5, 3)
+
+    few, many = made(2), made(40)
+    count = [df._jdf.queryExecution().executedPlan().toString().count("Exchange") for df in (few, many)]
+    assert count[0] == count[1]
+    found = {r.feature: r.importance_mean for r in many.collect()}
+    assert 0.3 < found["f0"] < 0.7 and all(v == 0 for f, v in found.items() if f != "f0")
+
+
 def test_constant_feature_has_no_permutation_importance(spark):
     df = spark.createDataFrame([(i, int(i % 3 == 0), [1.0, float(i % 3 == 0)]) for i in range(60)], "k int, y int, x array<double>")
     found = at.permutation_importance(df, "k", "y", ("const", "copy"), lambda x: x[1], 0.5, 4)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+import numpy as np
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
@@ -21,7 +22,8 @@ from hitloom.operators import attribution as at, matching as m, oversampling as
 from hitloom.operators.eda import class_counts
 from hitloom.operators.metrics import binary_metrics, confusion_counts
 from hitloom.operators.neighbours import nearest_neighbours
-from hitloom.plans import explaining as ex, training as tr, tuning as tu
+from hitloom.operators.network import Net, shapes, unpack
+from hitloom.plans import explaining as ex, scoring as sc, training as tr, tuning as tu
 from hitloom.session import settle, shared_folder
 from hitloom.streaming import snapshots as st
 from workbench import views as v
@@ -242,6 +244,41 @@ def mlp_score(spark, sf):
     return _predictions(run, frame)
 
 
+FIXED = {(0, 0): 1.0, (0, 1): 0.5}  # weights of the one unit in use, of energy and tempo
+
+
+def _fixed_net():
+    """A network of known weights: logit = 1.5 max(max(energy + tempo / 2 + 1, 0) - 0.2, 0) - 1."""
+    parts = unpack(flat := np.zeros(sum(int(np.prod(s)) for s in shapes(2))), 2)
+    for (unit, feature), w in FIXED.items():
+        parts[0][feature, unit] = w
+    parts[1][0], parts[2][0, 0], parts[3][0], parts[4][0, 0], parts[5][0] = 1.0, 1.0, -0.2, 1.5, -1.0
+    return Net(flat, 2, 0.5)
+
+
+@query(
+    "score_song",
+    v.ctes(
+        v.SONGS,
+        "wanted AS (SELECT DISTINCT lower(p_name) AS t, lower(p_brand) AS a FROM part)",
+        "picked AS (SELECT min(song_ord) AS song_ord FROM songs, wanted WHERE lower(trim(track_name)) = t AND lower(trim(artist_name)) = a GROUP BY t, a)",
+        """fits AS (SELECT md, avg(coalesce(energy, md)) AS me, stddev_pop(coalesce(energy, md)) AS se, avg(tempo) AS mt, stddev_pop(tempo) AS st
+  FROM songs, (SELECT median(energy) AS md FROM songs) GROUP BY md)""",
+        """scored AS (SELECT song_ord, track_name, artist_name, 1 / (1 + exp(-(1.5 * greatest(greatest((coalesce(energy, md) - me) / se + (tempo - mt) / st / 2 + 1, 0) - 0.2, 0) - 1))) AS p
+  FROM songs JOIN picked USING (song_ord), fits)""",
+    )
+    + f"SELECT song_ord, track_name, artist_name, (p >= 0.5)::INT AS prediction, {r('p', 'probability')} FROM scored",
+)
+def score_song(spark, sf):
+    """Songs asked for by name, scored by a network of known weights on preparation fitted to all songs."""
+    songs, part = v.songs(spark, sf), v.table(spark, sf, "part")
+    contract = FeatureContract(numeric=("energy", "tempo"), categorical=())
+    wanted = part.select(F.col("p_name").alias("track"), F.col("p_brand").alias("artist")).distinct()
+    prepared = pp.fit_preparation(songs, ["energy", "tempo"], [])
+    found = sc.score_songs(songs, wanted, prepared, _fixed_net(), "song_ord", contract)
+    return found.select("song_ord", "track_name", "artist_name", "prediction", real("probability"))
+
+
 def _search_rows(spark, run):
     rows = [(i, str({k: x for k, x in s.items() if k != "score"}), s["score"]) for i, s in enumerate(run.metrics["search"])]
     return spark.createDataFrame(rows, "draw int, params string, score double")
@@ -340,12 +377,12 @@ def probability_rules(spark, sf):
     return df.select("row_key", real(p, "p"), (p >= 0.5).cast("int").alias("hit"), real(f1, "f1"))
 
 
-EXPLAIN = ExplainSettings(repeats=2, steps=32)
+EXPLAIN = ExplainSettings(max_samples=0)  # all rows
 
 
 def _net(spark, sf):
     df = _docs(spark, sf)
-    run = tr.train_net(df, "doc_id", DOC_COLUMNS, NetSettings(epochs=3))
+    run = tr.train_net(df, "doc_id", DOC_COLUMNS)
     return run, pp.training_frame(df, DOC_COLUMNS)[0]
 
 
@@ -364,7 +401,7 @@ def ig_attr(spark, sf):
 @query("mlp_shap")
 def mlp_shap(spark, sf):
     run, _ = _net(spark, sf)
-    return ex.net_summary(run)
+    return ex.net_summary(run, explained=0)
 
 
 @query("forest_shap")
@@ -376,7 +413,7 @@ def forest_shap(spark, sf):
 @query("logreg_shap")
 def logreg_shap(spark, sf):
     run = tr.train_linear(v.train(spark, sf), "row_key", LINES, LinearSettings(oversample=False))
-    return ex.linear_summary(run)
+    return ex.linear_summary(run, explained=0)
 
 
 STREAM_SQL = (
