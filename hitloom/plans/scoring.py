@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hitloom.contracts import CHART_CONTRACT, ExplainSettings, FeatureContract
-from hitloom.operators.coercion import with_release_date, with_scoring_month
+from hitloom.operators.coercion import with_release_date, with_scoring_month, with_time_features
 from hitloom.operators.filters import at_ordinals, named_song, named_songs
 from hitloom.operators.preparation import Prepared
 from hitloom.plans.explaining import net_local
@@ -16,8 +16,12 @@ from hitloom.plans.training import score
 
 
 def scoring_rows(rows: DataFrame, contract: FeatureContract = CHART_CONTRACT) -> DataFrame:
-    """Rows as the model wants them: 1 January where there is a year but no date, and the month; the year stays."""
-    return with_scoring_month(with_release_date(rows), contract)
+    """Rows as the model wants them: 1 January where there is a year but no date, and the month.
+
+    The year stays as the table has it; a table without one gets that of the date.
+    """
+    dated = with_release_date(rows)
+    return with_scoring_month(dated, contract) if "release_year" in dated.columns else with_time_features(dated, contract)
 
 
 def score_rows(
