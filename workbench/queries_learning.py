@@ -99,6 +99,70 @@ def scaled_rows(spark, sf):
     )
 
 
+@query(
+    "tree_rows",
+    v.ctes(v.TRAIN)
+    + f"""SELECT row_key, energy, coalesce(valence, (SELECT median(valence) FROM train)) AS valence, (genre = 'F')::INT::DOUBLE AS f, (genre = 'O')::INT::DOUBLE AS o FROM train""",
+)
+def tree_rows(spark, sf):
+    """Preparation for trees: imputed and one-hot, not scaled."""
+    df = v.train(spark, sf)
+    x = vector_to_array("features")
+    rows = pp.fit_preparation(df, ["energy", "valence"], ["genre"], scale=False).transform(df)
+    return rows.select("row_key", x[0].alias("energy"), x[1].alias("valence"), x[2].alias("f"), x[3].alias("o"))
+
+
+@query(
+    "transformed_names",
+    v.ctes(v.TRAIN)
+    + """SELECT row_number() OVER (ORDER BY place, name) - 1 AS position, name FROM (
+  SELECT i AS place, 'num__' || c AS name FROM (SELECT unnest([0, 1]) AS i, unnest(['energy', 'valence']) AS c)
+  UNION ALL SELECT DISTINCT 2, 'cat__flag_' || flag FROM train UNION ALL SELECT DISTINCT 3, 'cat__genre_' || genre FROM train)""",
+)
+def transformed_names(spark, sf):
+    """Names of the transformed features in their order; categories as the table has them."""
+    names = pp.fit_preparation(v.train(spark, sf), ["energy", "valence"], ["flag", "genre"]).names
+    return spark.createDataFrame(list(enumerate(names)), "position bigint, name string")
+
+
+@query(
+    "median_baseline",
+    v.ctes(v.TRAIN, "filled AS (SELECT energy, coalesce(valence, (SELECT median(valence) FROM train)) AS valence, genre FROM train)")
+    + f"""SELECT 'num__energy' AS feature, {r('(median(energy) - avg(energy)) / stddev_pop(energy)', 'median', 5)} FROM filled
+  UNION ALL SELECT 'num__valence', {r('(median(valence) - avg(valence)) / stddev_pop(valence)', 'median', 5)} FROM filled
+  UNION ALL SELECT 'cat__genre_' || g, {r("median((genre = g)::INT)", 'median', 5)} FROM filled, (SELECT DISTINCT genre AS g FROM filled) GROUP BY g""",
+)
+def median_baseline(spark, sf):
+    """Where integrated gradients start: the median of every transformed feature over all rows."""
+    df = v.train(spark, sf)
+    prepared = pp.fit_preparation(df, ["energy", "valence"], ["genre"])
+    values = at.median_baseline(ex.transformed(df, prepared), prepared.names)
+    rows = spark.createDataFrame([(n, float(x)) for n, x in zip(prepared.names, values)], "feature string, median double")
+    return rows.select("feature", real("median", digits=5))
+
+
+@query(
+    "validation_split",
+    v.ctes(
+        v.TRAIN,
+        "sizes AS (SELECT is_hit, count(*) AS n FROM train GROUP BY 1)",
+        "wanted AS (SELECT ceil(sum(n) * 0.2::DOUBLE)::BIGINT AS t, sum(n)::BIGINT AS n FROM sizes)",
+    )
+    + "SELECT ceil(t * 1.0::DOUBLE)::BIGINT AS test, ceil((n - t) * 0.1::DOUBLE)::BIGINT AS validation, (n - t - ceil((n - t) * 0.1::DOUBLE))::BIGINT AS fitting FROM wanted",
+)
+def validation_split(spark, sf):
+    """Rows of the test, validation and fitting parts that the network sees."""
+    df = v.train(spark, sf)
+    rows = tr.net_rows(df, "row_key", LINES, NetSettings())
+    parts = rows.parts.select("row_key", F.col("is_test").alias("held")).unionByName(
+        rows.split.test.select("row_key", F.lit(None).cast("boolean").alias("held"))
+    )
+    return parts.agg(
+        F.count_if(F.col("held").isNull()).alias("test"), F.count_if("held").alias("validation"),
+        F.count_if(~F.col("held")).alias("fitting"),
+    )
+
+
 @query(
     "smote_settings",
     v.ctes(v.TRAIN, RARE_SQL, "c AS (SELECT count(*) AS n FROM rare GROUP BY is_hit)")

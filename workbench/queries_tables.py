@@ -87,6 +87,17 @@ def derive_label(spark, sf):
     return co.with_label(_flagged(spark, sf)).select("o_orderkey", big("is_hit"), "release_date")
 
 
+@query(
+    "derive_label_if_absent",
+    v.ctes(FLAGGED)
+    + """SELECT o_orderkey, (o_orderkey % 2)::INTEGER AS is_hit, CASE WHEN release_year BETWEEN 1678 AND 2262 THEN make_date(release_year::BIGINT, 1, 1) END AS release_date FROM flagged""",
+)
+def derive_label_if_absent(spark, sf):
+    """A label that is there stays, whatever the match flag says; the date is still made."""
+    labelled = _flagged(spark, sf).withColumn("is_hit", (F.col("o_orderkey") % 2).cast("int"))
+    return co.with_label(labelled, keep_existing=True).select("o_orderkey", "is_hit", "release_date")
+
+
 @query(
     "derive_label_clip",
     v.ctes(FLAGGED)
