@@ -19,7 +19,10 @@ def names_in(spark: SparkSession, folder: str) -> list[str]:
 
 
 def publish(df: DataFrame, folder: str, name: str) -> None:
-    """Write ``df`` as ``folder/name``, which appears whole or not at all: it is written aside and renamed."""
+    """Write ``df`` as ``folder/name``, which appears whole or not at all: it is written aside and renamed.
+
+    What is there already stays. The file system has to rename folders in one step, as HDFS does.
+    """
     spark = df.sparkSession
     aside = f"{folder}/_aside-{uuid.uuid4().hex}"
     df.write.parquet(aside)
