@@ -1,4 +1,4 @@
-"""Substring dedup: paragraphs and runs picked by content, MinHash bands, exact checks, components, common runs."""
+"""Substring dedup: paragraphs and runs picked by content, MinHash bands, parity marks, exact checks, components, common runs."""
 
 from __future__ import annotations
 
@@ -13,7 +13,7 @@ from pyspark.sql.window import Window
 from hitloom.llm.graph import components
 from hitloom.llm.words import ODD, hashed, mixed, shingled, shipped
 from hitloom.operators.skew import salted_join
-from hitloom.session import settle
+from hitloom.session import freed_shuffles, settle
 
 LENGTH = 16  # words of a run
 EVERY = 34  # a run begins in each so many words
@@ -21,10 +21,12 @@ WIDTH = 5
 PIECE = 1 << 17  # words that are hashed together
 RECALL = 0.95
 ROWS = 2
+CELLS = 48  # parities in a mark
+SIZE = 16  # bits of a mark that hold a number of shingles
 
 _PRINTS = (
     "doc_id long, digest long, n long, starts array<long>, spans array<long>, contents array<long>, bands array<long>,"
-    " fresh array<long>"
+    " fresh array<int>, marks array<long>"
 )
 
 
@@ -91,8 +93,23 @@ def unit_grams(words: np.ndarray, starts: np.ndarray, spans: np.ndarray) -> tupl
     return grams, counts
 
 
-def signatures(words: np.ndarray, starts: np.ndarray, spans: np.ndarray, hashes: int) -> tuple[np.ndarray, np.ndarray]:
-    """Content hash and MinHash values (one row per hash) of the units of ``spans`` words at ``starts``."""
+def marks(grams: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Number of distinct shingles of each unit (low ``SIZE`` bits, at most all ones) and the parities of how many fall into each cell.
+
+    Sets that differ in k shingles differ in k parities at most. Shingles are told apart by the
+    bits that a unit's number leaves of 64.
+    """
+    room = np.uint64(64 - max(1, (len(counts) - 1).bit_length()))
+    key = np.sort((np.repeat(np.arange(len(counts), dtype=np.uint64), counts) << room) | (mixed(grams, 99) >> (np.uint64(64) - room)))
+    key = key[np.r_[True, key[1:] != key[:-1]]]
+    sizes = np.bincount((key >> room).astype(np.int64), minlength=len(counts))
+    cell = ((key & ((np.uint64(1) << room) - np.uint64(1))) >> (room - np.uint64(20))) % np.uint64(CELLS)
+    odd = np.bitwise_xor.reduceat(np.uint64(1) << cell, np.cumsum(sizes) - sizes)
+    return odd << np.uint64(SIZE) | np.minimum(sizes, (1 << SIZE) - 1).astype(np.uint64)
+
+
+def signatures(words: np.ndarray, starts: np.ndarray, spans: np.ndarray, hashes: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Content hash, MinHash values (one row per hash) and mark of the units of ``spans`` words at ``starts``."""
     at, within, first = spread(starts, spans)
     with np.errstate(over="ignore"):
         content = np.add.reduceat(mixed(words[at] * ODD[2] + within.astype(np.uint64) * ODD[3]), first)
@@ -100,7 +117,7 @@ def signatures(words: np.ndarray, starts: np.ndarray, spans: np.ndarray, hashes:
         grams, counts = unit_grams(words, starts, spans)
         first = np.cumsum(counts) - counts
         least = np.stack([np.minimum.reduceat(mixed(grams * ODD[k % 5], k), first) for k in range(hashes)])
-    return content, least
+    return content, least, marks(grams, counts)
 
 
 def _pieces(texts: list[str | None], length: int) -> Iterator[tuple[list[int], np.ndarray, np.ndarray, np.ndarray]]:
@@ -157,30 +174,30 @@ def _printed(length: int, every: int, bands: int):
             for places, words, sizes, lines in _pieces(batch.column("text").to_pylist(), length):
                 n[places] = sizes
                 texts, starts, spans = units_of(words, sizes, lines, length, every)
-                content, least = signatures(words, starts + (np.cumsum(sizes) - sizes)[texts], spans, bands * ROWS)
+                content, least, mark = signatures(words, starts + (np.cumsum(sizes) - sizes)[texts], spans, bands * ROWS)
                 with np.errstate(over="ignore"):
                     key = np.stack([mixed(least[ROWS * b] * ODD[0] + least[ROWS * b + 1], b) for b in range(bands)], axis=1)
-                found.append((np.array(places)[texts], starts, spans, content.view(np.int64), key.view(np.int64)))
+                found.append((np.array(places)[texts], starts, spans, content.view(np.int64), key.view(np.int64), mark.view(np.int64)))
             if found:
-                place, starts, spans, content, key = (np.concatenate(x) for x in zip(*found))
+                place, starts, spans, content, key, mark = (np.concatenate(x) for x in zip(*found))
                 order = np.argsort(place, kind="stable")
-                place, starts, spans, content, key = (x[order] for x in (place, starts, spans, content, key))
+                place, starts, spans, content, key, mark = (x[order] for x in (place, starts, spans, content, key, mark))
             else:
-                place, starts, spans, content, key = none, none, none, none, none.reshape(0, bands)
+                place, starts, spans, content, key, mark = none, none, none, none, none.reshape(0, bands), none
             new = np.sort(np.unique(content, return_index=True)[1])
             rows = np.arange(batch.num_rows + 1)
             each, fresh = np.searchsorted(place, rows), np.searchsorted(place[new], rows)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("digest"), pa.array(n), _ragged(each, starts), _ragged(each, spans),
-                 _ragged(each, content), _ragged(fresh * bands, key[new].reshape(-1)), _ragged(fresh, content[new])],
-                names=["doc_id", "digest", "n", "starts", "spans", "contents", "bands", "fresh"],
+                 _ragged(each, content), _ragged(fresh * bands, key[new].reshape(-1)), _ragged(fresh, new - each[place[new]], pa.int32()), _ragged(fresh, mark[new])],
+                names=["doc_id", "digest", "n", "starts", "spans", "contents", "bands", "fresh", "marks"],
             )
 
     return run
 
 
-def _ragged(ends: np.ndarray, values: np.ndarray) -> pa.ListArray:
-    return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(values, pa.int64()))
+def _ragged(ends: np.ndarray, values: np.ndarray, kind: pa.DataType = pa.int64()) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(values, kind))
 
 
 def _read(length: int):
@@ -202,22 +219,48 @@ def _read(length: int):
 
 
 def common_runs(new: np.ndarray, old: np.ndarray, length: int) -> list[tuple[int, int]]:
-    """First word and end of the runs of ``new`` whose every ``length`` words, given by their hashes, are somewhere in ``old``."""
-    at = np.flatnonzero(np.isin(new, old))
+    """First word and end of the runs of ``new`` whose every ``length`` words, given by their hashes, are somewhere in ``old`` (sorted)."""
+    at = np.flatnonzero(old[np.minimum(np.searchsorted(old, new), len(old) - 1)] == new)
     if not len(at):
         return []
     cut = np.flatnonzero(np.diff(at) > length)
     return list(zip(at[np.r_[0, cut + 1]].tolist(), (at[np.r_[cut, len(at) - 1]] + length).tolist()))
 
 
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts as they are sent: compressed, with their size in bytes."""
+    for batch in batches:
+        texts = [x.encode("utf-8", "surrogatepass") for x in batch.column("text").to_pylist()]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), batch.column("digest"), pa.array([len(x) for x in texts], pa.int64()),
+             pa.array([pa.compress(x, codec="zstd", asbytes=True) for x in texts], pa.binary())],
+            names=["text_id", "text_digest", "size", "body"],
+        )
+
+
+def _unpacked(batch: pa.RecordBatch, size: str, body: str) -> list[str]:
+    return [
+        pa.decompress(x, decompressed_size=n, codec="zstd", asbytes=True).decode("utf-8", "surrogatepass") if n else ""
+        for n, x in zip(batch.column(size).to_pylist(), batch.column(body).to_pylist())
+    ]
+
+
 def _extended(length: int):
     """All runs of ``length`` words or more that a text has in common with the one that keeps a unit of it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sides = batch.column("text").to_pylist() + batch.column("old").to_pylist()
+            news, olds = _unpacked(batch, "size", "body"), _unpacked(batch, "old_size", "old")
             runs: list[list[tuple[int, int]]] = [[] for _ in range(batch.num_rows)]
-            order = [x for i in range(batch.num_rows) for x in (sides[i], sides[batch.num_rows + i])]
+            order: list[str] = []  # each text that keeps something, followed by those it is compared with
+            against: dict[int, tuple[int, int]] = {}
+            at = 0
+            for i, (new, old) in enumerate(zip(news, olds)):
+                if not i or old != olds[i - 1]:
+                    at = len(order)
+                    order.append(old)
+                against[len(order)] = (i, at)
+                order.append(new)
             held: tuple = (-1, None)
             for places, words, sizes, _ in _pieces(order, length):
                 if sizes[0] < length:
@@ -225,9 +268,10 @@ def _extended(length: int):
                 grams, before = shingled(words, length), np.cumsum(sizes) - sizes
                 for place, first, size in zip(places, before, sizes):
                     own = grams[first : first + size - length + 1]
-                    if place % 2 and held[0] == place - 1:
-                        runs[place // 2] = common_runs(held[1], own, length)
-                    held = (place, own)
+                    if place not in against:
+                        held = (place, np.sort(own))
+                    elif held[0] == against[place][1]:
+                        runs[against[place][0]] = common_runs(own, held[1], length)
             flat = [(i, x, y) for i, found in enumerate(runs) for x, y in found]
             rows = pa.array([i for i, _, _ in flat], pa.int64())
             yield pa.RecordBatch.from_arrays(
@@ -244,6 +288,13 @@ def _similar(a: Column, b: Column, num: int, den: int) -> Column:
     return den * common >= num * (F.size(a) + F.size(b) - common)
 
 
+def _possible(a: Column, b: Column, num: int, den: int) -> Column:
+    """Whether sets with these marks can be so similar: never false of sets that are."""
+    x, y = (c.bitwiseAND(F.lit((1 << SIZE) - 1)) for c in (a, b))
+    odd = F.bit_count(F.shiftrightunsigned(a.bitwiseXOR(b), SIZE))
+    return (odd * (den + num) <= (x + y) * (den - num)) & (den * F.least(x, y) >= num * F.greatest(x, y))
+
+
 def _runs(spots: DataFrame) -> DataFrame:
     """Adds run: the number, in its text, of the run of touching spots (start, end) that a spot lies in."""
     by_doc = Window.partitionBy("doc_id", "digest").orderBy("start")
@@ -274,8 +325,9 @@ def repeated_passages(
     :func:`starts_of`). Paragraphs of equal words, A-Z in
     lower case, are one content. Contents that share a MinHash band are compared by exact Jaccard
     similarity of their five-word shingles; ``tuned_bands`` sets the bands for the wanted recall.
+    Pairs whose marks (see :func:`marks`) rule that similarity out are left out first, which loses none.
     Each content of a band is checked against one hub; bands that still hold several components
-    are joined with themselves across components, with that test as join condition. In each
+    are joined with themselves across components, with the marks in the join condition. In each
     component the smallest document keeps its paragraphs; those of the others are removed. So is
     every run of ``length`` words or more that such a document has in common with the smallest one,
     up to its last equal word on either side. Overlapping removals are one passage.
@@ -285,6 +337,11 @@ def repeated_passages(
     with a null id are not compared. Rows that share an id are one document to this operator.
     Extra columns are ignored. An empty table gives an empty result.
     """
+    with freed_shuffles(docs.sparkSession):
+        return _passages(docs, id_col, text_col, length, every, num, den, recall)
+
+
+def _passages(docs: DataFrame, id_col: str, text_col: str, length: int, every: int, num: int, den: int, recall: float) -> DataFrame:
     bands = tuned_bands(num / den, ROWS, recall)
     own = docs.select(
         F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"),
@@ -299,54 +356,62 @@ def repeated_passages(
         .where("first < last").drop("last")
     )
 
-    banded = prints.select("fresh", "bands").select(F.posexplode("fresh").alias("i", "content"), "bands").select(
-        "content", F.explode(F.slice("bands", F.col("i") * bands + 1, bands)).alias("key")
+    banded = prints.select(F.posexplode(F.arrays_zip("fresh", "marks")).alias("i", "u"), "contents", "bands").select(
+        F.get("contents", F.col("u.fresh")).alias("content"), F.col("u.marks").alias("mark"),
+        F.explode(F.slice("bands", F.col("i") * bands + 1, bands)).alias("key"),
     )
     bucket = Window.partitionBy("key")
+    near = _possible(F.col("mark"), F.col("hub.mark"), num, den) & (F.col("content") != F.col("hub.content"))
     shared = settle(
-        banded.select("*", F.min("content").over(bucket).alias("hub"), F.max("content").over(bucket).alias("top"))
-        .where("hub <> top").drop("top").distinct()
+        banded.select("*", F.min(F.struct("content", "mark")).over(bucket).alias("hub"), F.max("content").over(bucket).alias("top"))
+        .where("hub.content <> top")
+        .select("key", "content", "mark", F.when(near, F.col("hub.content")).alias("near"), (F.col("content") == F.col("hub.content")).alias("is_hub"))
+        .distinct()
     )
-    first = settle(shared.where("content <> hub").select(F.col("hub").alias("a"), F.col("content").alias("b")).distinct())
-    wanted = shared.select("content").distinct()
+    first = settle(shared.where("near is not null").select(F.col("near").alias("a"), F.col("content").alias("b")).distinct())
     # A content of very many places is folded in each task, then joined; a semi-join would be moved below the fold.
-    place = units.withColumn("rank", F.xxhash64("doc_id", "digest", "start")).groupBy("content").agg(
-        *[F.min_by(c, "rank").alias(c) for c in ("doc_id", "digest", "start", "span")]
-    ).join(wanted, "content")
-    asked = place.groupBy("doc_id", "digest").agg(
-        F.collect_list(F.struct("content", "start", "span")).alias("w")
-    ).select("doc_id", "digest", F.col("w.content").alias("contents"), F.col("w.start").alias("starts"), F.col("w.span").alias("spans"))
-    texts = settle(
-        own.join(asked, ["doc_id", "digest"]).dropDuplicates(["doc_id", "digest"])
-        .select("text", "contents", "starts", "spans").mapInArrow(_read(length), "content long, grams array<long>")
-        .select("content", F.array_distinct("grams").alias("grams"))
+    place = settle(
+        units.withColumn("rank", F.xxhash64("doc_id", "digest", "start")).groupBy("content").agg(
+            *[F.min_by(c, "rank").alias(c) for c in ("doc_id", "digest", "start", "span")]
+        ).join(shared.select("content").distinct(), "content")
     )
 
     def verified(pairs: DataFrame) -> DataFrame:
+        wanted = pairs.select(F.explode(F.array("a", "b")).alias("content")).distinct()
+        asked = place.join(wanted, "content").groupBy("doc_id", "digest").agg(
+            F.collect_list(F.struct("content", "start", "span")).alias("w")
+        ).select("doc_id", "digest", F.col("w.content").alias("contents"), F.col("w.start").alias("starts"), F.col("w.span").alias("spans"))
+        texts = settle(
+            own.join(asked, ["doc_id", "digest"]).dropDuplicates(["doc_id", "digest"])
+            .select("text", "contents", "starts", "spans").mapInArrow(_read(length), "content long, grams array<long>")
+            .select("content", F.array_distinct("grams").alias("grams"))
+        )
         x = texts.select(F.col("content").alias("a"), F.col("grams").alias("a_grams"))
         y = texts.select(F.col("content").alias("b"), F.col("grams").alias("b_grams"))
         return settle(pairs.join(y, "b").join(x, "a").where(_similar(F.col("a_grams"), F.col("b_grams"), num, den)).select("a", "b"))
 
     links = verified(first)
     label = components(links)
-    member = shared.join(label.withColumnRenamed("node", "content"), "content", "left").withColumn(
+    member = shared.drop("near").join(label.withColumnRenamed("node", "content"), "content", "left").withColumn(
         "component", F.coalesce("component", "content")
     )
-    several = member.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("key")
-    open_rows = settle(member.join(several, "key").join(texts, "content").select("key", "content", "component", "grams"))
+    open_rows = settle(
+        member.select("*", F.min("component").over(bucket).alias("x"), F.max("component").over(bucket).alias("y")).where("x <> y")
+        .select("key", "content", "mark", "is_hub", F.when(F.col("component") != F.col("content"), F.col("component")).alias("component"))
+    )
+    open_rows = open_rows.withColumn("component", F.coalesce("component", "content"))
     x, y = open_rows.alias("x"), open_rows.alias("y")
-    second = (
+    close = settle(
         x.join(
             y,
             (F.col("x.key") == F.col("y.key")) & (F.col("x.content") < F.col("y.content"))
-            & (F.col("x.component") != F.col("y.component"))
-            & _similar(F.col("x.grams"), F.col("y.grams"), num, den),
+            & ~F.col("x.is_hub") & (F.col("x.component") != F.col("y.component"))
+            & _possible(F.col("x.mark"), F.col("y.mark"), num, den),
         )
         .select(F.col("x.content").alias("a"), F.col("y.content").alias("b")).distinct()
     )
-    more = settle(second)
-    if not more.isEmpty():
-        label = components(links.unionByName(more))
+    if not close.isEmpty():
+        label = components(links.unionByName(verified(close)))
 
     # Documents of each component: those of its contents.
     linked = label.withColumnRenamed("node", "content")
@@ -363,16 +428,25 @@ def repeated_passages(
     gone = _runs(hits).groupBy("doc_id", "digest", "run").agg((F.max("end") - F.min("start")).alias("size"), F.max("n").alias("n"))
     partly = gone.groupBy("doc_id", "digest").agg(F.sum("size").alias("size"), F.max("n").alias("n")).where("size < n").select("doc_id", "digest")
     pairs = settle(hits.select("doc_id", "digest", "keep_id").distinct().join(partly, ["doc_id", "digest"]))
-    new = own.join(pairs, ["doc_id", "digest"]).dropDuplicates(["doc_id", "digest", "keep_id"])
+    asked = pairs.select(F.col("doc_id").alias("text_id"), "doc_id", "digest", "keep_id").unionByName(
+        pairs.select(F.col("keep_id").alias("text_id"), "keep_id").distinct(), allowMissingColumns=True
+    )
+    packed = own.mapInArrow(_packed, "text_id long, text_digest long, size long, body binary")
+    sent = settle(
+        packed.join(asked, "text_id").where("digest is null or digest = text_digest")
+        .dropDuplicates(["text_id", "text_digest", "doc_id", "keep_id"]).select("doc_id", "digest", "keep_id", "size", "body")
+    )
+    old = sent.where("doc_id is null").select("keep_id", F.col("size").alias("old_size"), F.col("body").alias("old"))
     sizes = pairs.groupBy("keep_id").agg(F.count(F.lit(1)).alias("n"))
-    old = own.select(F.col("doc_id").alias("keep_id"), F.col("text").alias("old")).join(sizes.drop("n"), "keep_id", "left_semi")
-    both = salted_join(new, old, ["keep_id"], sizes=sizes).select("doc_id", "digest", "keep_id", "text", "old")
+    both = salted_join(sent.where("doc_id is not null"), old, ["keep_id"], sizes=sizes)
     more = both.mapInArrow(_extended(length), "doc_id long, digest long, keep_id long, start long, end long")
     runs = _runs(hits.drop("n").unionByName(more))
-    return runs.groupBy("doc_id", "digest", "run").agg(
-        F.min("start").alias("first_word"), (F.max("end") - F.min("start")).alias("n_words"),
-        F.sort_array(F.collect_set("keep_id")).alias("keep_ids"),
-    ).select("doc_id", "first_word", "n_words", "keep_ids").distinct()
+    return settle(
+        runs.groupBy("doc_id", "digest", "run").agg(
+            F.min("start").alias("first_word"), (F.max("end") - F.min("start")).alias("n_words"),
+            F.sort_array(F.collect_set("keep_id")).alias("keep_ids"),
+        ).select("doc_id", "first_word", "n_words", "keep_ids").distinct()
+    )
 
 
 shipped(__name__)

@@ -1,4 +1,5 @@
 import hashlib
+import pathlib
 import random
 import re
 import zlib
@@ -17,10 +18,11 @@ from hitloom.llm.exact_dedup import exact_dedup
 from hitloom.llm.graph import components
 from hitloom.llm.line_dedup import line_dedup, patience
 from hitloom.llm.packing import Windows, pack
-from hitloom.llm.passage_dedup import repeated_passages, starts_of, tuned_bands
+from hitloom.llm.passage_dedup import _possible, marks, repeated_passages, starts_of, tuned_bands
 from hitloom.llm.quality_rules import quality_rules, repeated_words
 from hitloom.llm.source_mixing import fill, mix, targets
 from hitloom.llm.words import mixed, shingled
+from hitloom.session import shared_folder
 
 FOLDER = "/root/testdata/sf0.001"
 KIND = "doc_id long, text string, lang string, source string, n_chars long, digest string, size string, kept string, h long"
@@ -212,6 +214,36 @@ def test_passages_are_whole(spark):
     assert all(any(at - 1 <= k <= at + n for at, n in places) for k in gone)
 
 
+def test_passages_leave_little_on_disk(spark, tmp_path):
+    """Written tables stay under 3.2 times the input (3.83 when the shingles of all contents in shared bands were written)."""
+    cleanup = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    folder, given = pathlib.Path(shared_folder(spark).removeprefix("file:")), tmp_path / "in"
+    spark.read.parquet("/root/testdata/sf0.1/documents.parquet").coalesce(2).write.parquet(str(given))
+    before = set(folder.rglob("*.parquet"))
+    assert repeated_passages(spark.read.parquet(str(given))).count() > 0
+    written = sum(f.stat().st_size for f in set(folder.rglob("*.parquet")) - before if f.is_file())
+    assert 0 < written < 3.2 * sum(f.stat().st_size for f in given.glob("*.parquet"))
+    assert spark.conf.get(cleanup, None) is None
+
+
+def test_marks_lose_no_similar_pair(spark):
+    r = random.Random(5)
+    sets = []
+    for _ in range(400):
+        base = [r.getrandbits(64) for _ in range(r.choice((1, 4, 12, 50, 300)))]
+        k = r.randrange(len(base) // 3 + 1)
+        sets += [base, base[k:] + [r.getrandbits(64) for _ in range(r.randrange(k + 1))] + base[k : k + 3]]
+    mark = marks(np.array([x for s in sets for x in s], np.uint64), np.array([len(s) for s in sets])).view(np.int64).tolist()
+    pairs = [(i, j) for i in range(0, 800, 2) for j in (i + 1, (i + 2) % 800)]
+    rows = spark.createDataFrame([(i, j, mark[i], mark[j]) for i, j in pairs], "i int, j int, a long, b long")
+    kept = {(x.i, x.j) for x in rows.where(_possible(F.col("a"), F.col("b"), 8, 10)).collect()}
+    alike = {(i, j) for i, j in pairs if 10 * len(set(sets[i]) & set(sets[j])) >= 8 * len(set(sets[i]) | set(sets[j]))}
+    assert len(alike) > 100 and alike <= kept
+    assert all(m & 65535 == len(set(s)) for m, s in zip(mark, sets))
+    short = {(i, j) for i, j in pairs if j != i + 1 and len(sets[i]) == len(sets[j]) <= 50}
+    assert len(kept & short) < len(short) / 10
+
+
 def test_paragraphs_begin_alike_in_any_company():
     rng = np.random.default_rng(3)
     own = [rng.integers(0, 1 << 60, n, dtype=np.uint64) for n in (16, 17, 48, 49, 50, 51, 83, 400, 16, 2000)]
