@@ -116,13 +116,14 @@ def permutation_importance(
 
     A repeat is one permutation for all features: the row of hash rank i takes a feature from the row
     of rank (a i + b) mod n, with a prime to n. Rows meet their donors once per repeat, and features are
-    told apart only then, so what is shuffled does not grow with their number.
+    told apart only then, so what is shuffled does not grow with their number. All rows are donors; written
+    small as repeated categories are, they would pass for a table to broadcast, so the join is said to sort.
     """
     base = settle(hash_ranks(rows.select(key, label, "x"), [], hash_order(F.col(key), seed), "i"))
     moves = [(r, *permutation_of(base.count(), seed, r)) for r in range(1, repeats + 1)]
     drawn = F.array(*[F.struct(F.lit(r).alias("r"), F.lit(a).alias("a"), F.lit(b).alias("b"), F.lit(n).alias("n")) for r, a, b, n in moves])
     asked = base.withColumn("t", F.explode(drawn)).select(label, "x", "t.r", multiplied("i", "t.a", "t.b", "t.n").alias("i"))
-    met = asked.join(base.select("i", F.col("x").alias("given")), "i")
+    met = asked.join(base.select("i", F.col("x").alias("given")).hint("merge"), "i")
     changed = met.withColumn("j", F.explode(F.sequence(F.lit(0), F.lit(len(names) - 1)))).withColumn(
         "x", F.transform("x", lambda v, n: F.when(n == F.col("j"), F.element_at("given", n + 1)).otherwise(v))
     )

@@ -272,6 +272,15 @@ def test_shuffle_of_importance_does_not_grow_with_features(spark):
     assert 0.3 < found["f0"] < 0.7 and all(v == 0 for f, v in found.items() if f != "f0")
 
 
+def test_importance_broadcasts_no_rows(spark):
+    """Rows meet their donors by sorting, however small the rows' files are."""
+    df = spark.createDataFrame([(k, k % 2, [float(k % 2), 0.0]) for k in range(50)], "k int, y int, x array<double>")
+    found = at.permutation_importance(df, "k", "y", ("f0", "f1"), lambda x: x[0], 0.5, 2)
+    found.collect()
+    ran = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in ran and "BroadcastHashJoin" not in ran
+
+
 def test_constant_feature_has_no_permutation_importance(spark):
     df = spark.createDataFrame([(i, int(i % 3 == 0), [1.0, float(i % 3 == 0)]) for i in range(60)], "k int, y int, x array<double>")
     found = at.permutation_importance(df, "k", "y", ("const", "copy"), lambda x: x[1], 0.5, 4)
