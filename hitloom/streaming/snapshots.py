@@ -7,6 +7,9 @@ levels, so that a batch costs in proportion to itself and the log keeps few part
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -27,6 +30,19 @@ _STATE = {
 }
 
 
+@contextmanager
+def _set(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
+    """Inside, the session has these settings; afterwards those it had."""
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def snapshot_stream(
     spark: SparkSession, folder: str, kind: str = "json", files_per_batch: int = 100
 ) -> DataFrame:
@@ -113,33 +129,34 @@ def compact(spark: SparkSession, log: str, number: int) -> None:
         publish(merge_summaries(parts), log, _name((taken[0][0], taken[-1][1])))
 
 
-def ingest(stream: DataFrame, out: str, state: str) -> StreamingQuery:
+def ingest(stream: DataFrame, out: str, state: str, partitions: int | None = None) -> StreamingQuery:
     """Store what every batch of entries adds, as parts of the log under ``out``.
 
     Landing again changes nothing but what weeks and peak say; each entry counts once whatever fails
     and however the files fall into batches. A part is named after its batches and appears whole. A
     batch that is retried finds its part, which is the same, or writes it. The state of the stream lies
     in ``state``, on the executors' disks between checkpoints.
+
+    Every batch opens and commits all ``partitions`` of the state, however few entries it has, and their
+    number stays what it is when the stream first starts: by default one per core, at most the session's
+    shuffle partitions. What a batch writes is dealt by its size.
     """
-    log = f"{out}/log"
+    log, spark = f"{out}/log", stream.sparkSession
+    # For what is written from a batch, which is no stream: Spark switches adaptive execution off for those.
+    written = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
+    held = partitions or min(int(written["spark.sql.shuffle.partitions"]), spark.sparkContext.defaultParallelism)
 
     def store(batch: DataFrame, number: int) -> None:
-        # Also when the part is there, as a batch has to run for its state; the part then stays as it is.
-        publish(batch_summaries(batch), log, _name((number, number)))
-        compact(batch.sparkSession, log, number)
+        with _set(batch.sparkSession, written):
+            # Also when the part is there, as a batch has to run for its state; the part then stays as it is.
+            publish(batch_summaries(batch), log, _name((number, number)))
+            compact(batch.sparkSession, log, number)
 
-    spark = stream.sparkSession
-    before = {k: spark.conf.get(k, None) for k in _STATE}
-    for k, v in _STATE.items():
-        spark.conf.set(k, v)
-    try:
+    with _set(spark, _STATE | {"spark.sql.shuffle.partitions": str(held)}):
         return (
             folded_entries(stream).writeStream.outputMode("update").foreachBatch(store)
             .option("checkpointLocation", state).trigger(availableNow=True).start()
         )
-    finally:
-        for k, v in before.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def current_summaries(spark: SparkSession, out: str) -> DataFrame:

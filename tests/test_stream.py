@@ -83,6 +83,25 @@ def test_parts_are_folded(spark, keys, tmp_path, monkeypatch):
     assert told(st.current_aggregates(spark, f"{tmp_path}/out", keys)) == expected(spark, folder, keys)
 
 
+def test_small_batches_use_few_partitions(spark, landed, keys, tmp_path):
+    """A session of many shuffle partitions: the state has one per core, a part as many files as its size asks for."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", 40)
+    try:
+        query = st.ingest(st.snapshot_stream(spark, landed, files_per_batch=1), f"{tmp_path}/out", f"{tmp_path}/state")
+        query.awaitTermination()
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "40"
+        found = told(st.current_aggregates(spark, f"{tmp_path}/out", keys))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    cores = spark.sparkContext.defaultParallelism
+    assert {p["stateOperators"][0]["numShufflePartitions"] for p in query.recentProgress} == {cores}
+    for part in st._cover(spark, f"{tmp_path}/out/log")[0]:
+        files = names_in(spark, f"{tmp_path}/out/log/{st._name(part)}")
+        assert sum(n.startswith("part-") for n in files) == 1
+    assert found == expected(spark, landed, keys)
+
+
 @pytest.mark.parametrize("broken", ["compact", "publish"])
 def test_failures_between_writes(spark, landed, keys, tmp_path, monkeypatch, broken):
     """A batch that fails before its part or between its part and the folding is retried: same result."""
